@@ -1,0 +1 @@
+"""Left empty on purpose: every source and sink of this engine is batch."""
