@@ -292,6 +292,27 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, 'source', length(source), 4 FROM documents WHERE length(source) > 4
         UNION ALL
         SELECT doc_id, 'lang', length(lang), 50 FROM documents WHERE length(lang) > 50""",
+    "contract_report": f"""WITH {FILMS}, {GENRES}, {PAIRS}
+        SELECT 'films key' AS contract, count(*) AS violations
+        FROM (SELECT id FROM films GROUP BY id HAVING count(*) > 1 OR id IS NULL)
+        UNION ALL
+        SELECT 'genres key', count(*)
+        FROM (SELECT id FROM genres GROUP BY id HAVING count(*) > 1 OR id IS NULL)
+        UNION ALL
+        SELECT 'film_genres key', count(*)
+        FROM (SELECT 1 FROM pairs GROUP BY id_filme, id_genero
+              HAVING count(*) > 1 OR id_filme IS NULL OR id_genero IS NULL)
+        UNION ALL
+        SELECT 'films text', count(*) FILTER (WHERE length(titulo) > 255)
+               + count(*) FILTER (WHERE length(idioma_original) > 50) FROM films
+        UNION ALL
+        SELECT 'genres text', count(*) FILTER (WHERE length(genero) > 25) FROM genres
+        UNION ALL
+        SELECT 'film_genres to films', count(*) FROM pairs
+        WHERE NOT EXISTS (SELECT 1 FROM films WHERE films.id = id_filme)
+        UNION ALL
+        SELECT 'film_genres to genres', count(*) FROM pairs
+        WHERE NOT EXISTS (SELECT 1 FROM genres WHERE genres.id = id_genero)""",
     "conform_types": f"""WITH {FILMS}
         SELECT * REPLACE (CAST(data_lancamento AS VARCHAR) AS data_lancamento) FROM films""",
     "union_by_name": """

@@ -11,7 +11,7 @@ from filmlake.functions.languages import LANGUAGE_LABELS
 from filmlake.operators import clean, ranking, relate
 from filmlake.operators.aggregate import yearly_ratings
 from filmlake.operators.checks import key_violations, orphans, text_violations
-from filmlake.plans import pipeline, star, views
+from filmlake.plans import contracts, pipeline, star, views
 from filmlake.schemas import FILMS, GENRES, conform
 from filmlake.sinks import (
     write_csv,
@@ -21,7 +21,7 @@ from filmlake.sinks import (
     write_parquet_unless_empty,
 )
 from filmlake.sources import local_rows, read_films, read_genres
-from filmlake.staging import new_folder
+from filmlake.staging import discard, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -290,6 +290,11 @@ def length_violations(spark: SparkSession, folder: str) -> DataFrame:
     return text_violations(star.table(spark, folder, "documents"), "doc_id", limits)
 
 
+@query
+def contract_report(spark: SparkSession, folder: str) -> DataFrame:
+    return contracts.contract_report(star.silver(spark, folder, with_votes=False))
+
+
 @query
 def conform_types(spark: SparkSession, folder: str) -> DataFrame:
     """A film table of texts, in another order, brought to its contract."""
@@ -410,6 +415,7 @@ def silver_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     pipeline.build_silver(
         spark, f"{root}/films", f"{root}/genres", f"{root}/silver", as_of=AS_OF, pattern="*.json"
     )
+    discard(spark, f"{root}/films")
     silver = pipeline.read_silver(spark, f"{root}/silver")
     sizes = silver.film_genres.groupBy("id_filme").agg(
         F.count(F.lit(1)).alias("genre_count"), F.sum("id_genero").alias("genre_id_sum")
@@ -429,4 +435,5 @@ def gold_export_status(spark: SparkSession, folder: str) -> DataFrame:
     status = pipeline.build_gold(
         spark, f"{root}/silver", f"{root}/gold", min_votes=star.MIN_VOTES
     )
+    discard(spark, root)
     return status.drop("error")

@@ -31,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/filmlake-{uuid.uuid4().hex}/{name}"
+    return f"{shared_folder(spark)}/filmlake-{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
