@@ -18,9 +18,11 @@ def main() -> None:
     parser.add_argument("gold", help="folder for the CSV results")
     parser.add_argument("--pattern", default=FILM_FILES, help="names of the film files")
     parser.add_argument("--as-of", help="day that counts as today, yyyy-mm-dd")
+    parser.add_argument("--input-gb", type=float, help="size of the input, to size the shuffles")
     options = parser.parse_args()
 
-    spark = get_spark()
+    size = None if options.input_gb is None else int(options.input_gb * 1024**3)
+    spark = get_spark(input_bytes=size)
     report = build_silver(
         spark, options.films, options.genres, options.silver, options.as_of, options.pattern
     )

@@ -39,8 +39,9 @@ def top_with_ties(
 
     The k best values of a group, repeats counted, settle which values have a
     place: a value's place is its first position among them. Each task passes on
-    k values per group, whatever the group's size. That small table of places is
-    then joined back to the rows by value.
+    k values per group, whatever the group's size, as long as k stays within
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 unless set). That
+    small table of places is then joined back to the rows by value.
 
     ``groups`` is a bound on the number of groups the caller can prove; the
     places, k per group, are broadcast when it is small enough. Without one the
@@ -111,7 +112,8 @@ def sorted_page(
 ) -> DataFrame:
     """``pages`` pages of the sorted table from ``first_page`` on, ties by ``key``.
 
-    Each task keeps its best rows and only those travel; no full sort takes place.
+    Each task keeps its best rows and only those travel, as many as there are up
+    to the last page asked for; no full sort takes place.
     """
     return (
         df.orderBy(sort_order(sort_by), F.col(key).asc())

@@ -122,7 +122,7 @@ def test_columns_of_the_results(spark, bronze, tmp_path):
 
 def test_one_failing_view_does_not_stop_the_others(spark, tmp_path):
     spark.range(3).createOrReplaceTempView("fine")
-    spark.range(3).select(F.raise_error(F.lit("broken")).alias("x")).createOrReplaceTempView("bad")
+    spark.range(3).select(F.raise_error(F.lit("broken")).cast("string").alias("x")).createOrReplaceTempView("bad")
     status = {r["name"]: r for r in pipeline.export_views(spark, str(tmp_path), ["bad", "missing", "fine"]).collect()}
     assert [status[n]["ok"] for n in ("bad", "missing", "fine")] == [False, False, True]
     assert "broken" in status["bad"]["error"]

@@ -13,6 +13,7 @@ from filmlake import staging
 from filmlake.plans.pipeline import load_relational
 from filmlake.plans.views import Silver
 from filmlake.schemas import CORRUPT, FILM_RAW
+from filmlake.session import shuffle_partitions
 from filmlake.sinks import (
     write_csv,
     write_jdbc,
@@ -174,6 +175,11 @@ def test_stage_and_discard(spark, tmp_path):
     assert not (tmp_path / "staged").exists()
 
 
+def test_shuffles_grow_with_the_input():
+    assert shuffle_partitions(10**9) == 200
+    assert shuffle_partitions(10**14) > 700_000
+
+
 # no database is started here: the calls are looked at, not carried out
 
 
