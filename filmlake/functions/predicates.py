@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DATE_FORMAT = "yyyy-MM-dd"
+DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}\z"
 
 
 def has_text(column: str) -> Column:
@@ -19,11 +20,15 @@ def parsed_date(column: str, date_format: str | None = DATE_FORMAT) -> Column:
     """Text to date; NULL where it is no date, also in ANSI mode.
 
     ``date_format=None`` takes every spelling a Spark cast knows, such as a bare
-    year.
+    year. The usual format is that cast behind a look at the shape, which is
+    several times faster than a formatter and accepts the same texts.
     """
+    text = F.col(column)
     if date_format is None:
-        return F.col(column).try_cast("date")
-    return F.try_to_date(F.col(column), date_format)
+        return text.try_cast("date")
+    if date_format == DATE_FORMAT:
+        return F.when(text.rlike(DATE_SHAPE), text.try_cast("date"))
+    return F.try_to_date(text, date_format)
 
 
 def as_of_date(as_of: dt.date | str | None) -> Column:

@@ -11,7 +11,7 @@ from filmlake.functions.languages import LANGUAGE_LABELS
 from filmlake.functions.predicates import DATE_FORMAT
 from filmlake.operators.clean import audit_columns, clean_films, corrupt_column
 from filmlake.operators.ranking import EXTRACTS, PAGE_SIZE, PAGES, union_of_extracts
-from filmlake.operators.relate import film_genre_pairs, films_by_genre, films_of, matching
+from filmlake.operators.relate import film_genre_pairs, films_of, matching
 from filmlake.plans.views import MIN_VOTES, TOP, Silver, register_tables, register_views
 from filmlake.schemas import FILM_GENRES, FILMS, GENRES, conform
 from filmlake.sinks import (
@@ -101,8 +101,7 @@ def read_silver(spark: SparkSession, silver: str) -> Silver:
 
 def join_silver(tables: Silver, silver: str) -> Silver:
     """Write films joined to their genres once, for the five results that use it."""
-    joined = films_by_genre(tables.films, tables.film_genres, tables.genres)
-    written = stage(joined, f"{silver}/films_by_genre")
+    written = stage(tables.by_genre, f"{silver}/films_by_genre")
     return Silver(tables.films, tables.genres, tables.film_genres, written)
 
 

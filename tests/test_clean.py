@@ -106,6 +106,22 @@ def test_date_spelling(spark):
     assert lenient == [dt.date(2001, 1, 1), dt.date(2001, 2, 3), None, None]
 
 
+DATE_TEXTS = st.one_of(
+    st.dates(dt.date(1, 1, 1)).map(str),
+    st.from_regex(r"[ +0-9]?[0-9]{1,4}-[0-9]{1,2}-[0-9]{1,2}[ T\n]?", fullmatch=True),
+)
+
+
+@settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(texts=st.lists(DATE_TEXTS, min_size=50, max_size=200))
+def test_date_shape_and_cast_equal_the_formatter(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string").filter("t NOT LIKE '0000%'")
+    both = df.select("t", parsed_date("t").alias("a"), F.try_to_date("t", "yyyy-MM-dd").alias("b"))
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).collect() == []
+
+
 ROWS = st.lists(
     st.tuples(
         st.integers(0, 4),

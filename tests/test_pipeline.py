@@ -167,3 +167,18 @@ def test_invariants_of_the_results(spark):
     for row in run["rating_pattern"]:
         apart = row["media_ponderada_geral"] - row["media_simples_geral"]
         assert abs(apart - row["diferenca_medias"]) <= 0.0101
+
+
+def test_results_do_not_depend_on_how_data_is_split(spark, setting, rows):
+    """Another number of tasks and another split of the files, the very same values."""
+    names = ("rating_pattern", "top_genres_by_year", "popularity_by_genre", "top_films_by_genre", "clean_valid")
+
+    def run():
+        return {name: rows(QUERIES[name](spark, SF)) for name in names}
+
+    before = run()
+    setting("spark.sql.shuffle.partitions", "3")
+    setting("spark.sql.files.maxPartitionBytes", "20000")
+    setting("spark.sql.files.openCostInBytes", "0")
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert run() == before
