@@ -28,7 +28,7 @@ def main() -> None:
     )
     for name, value in report.items():
         print(f"{name}: {value}")
-    if report["rows_in"]:
+    if report["films"]:
         contract_report(read_silver(spark, options.silver)).show(truncate=False)
         build_gold(spark, options.silver, options.gold).show(truncate=False)
     spark.stop()

@@ -62,8 +62,8 @@ def build_silver(
     The clean records are staged too: the duplicates are settled once, and films
     and pairs come from the same survivors without a further shuffle.
 
-    Nothing is overwritten when there is no input. Returns the audit, and the
-    rows of each table.
+    Without a valid film, films and pairs stay as they were. Returns the audit,
+    and the rows of each table.
     """
     report = {"genres": write_parquet(conform(read_genres(spark, genre_file), GENRES), f"{silver}/genres")}
     genres = spark.read.schema(GENRES).parquet(f"{silver}/genres")
@@ -81,9 +81,13 @@ def build_silver(
         records = stage(clean_films(raw, as_of, date_format), f"{scratch}/records")
         films = conform(films_of(records, labels, date_format), FILMS)
         report["films"] = write_parquet_unless_empty(films, f"{silver}/films", film_files)
+        if report["films"] == 0:
+            return report | {"film_genres": 0}
+
+        # written even when empty, since pairs of earlier films would be left otherwise
         pairs = matching(film_genre_pairs(records), "id_genero", genres, "id")
-        report["film_genres"] = write_parquet_unless_empty(
-            conform(pairs, FILM_GENRES), f"{silver}/film_genres", pair_files
+        report["film_genres"] = write_parquet(
+            conform(pairs, FILM_GENRES), f"{silver}/film_genres", num_files=pair_files
         )
         report["rows_removed"] = report["rows_in"] - report["films"]
         return report

@@ -72,9 +72,24 @@ def test_no_input_leaves_silver_alone(spark, bronze, tmp_path):
 
 
 def test_no_genres_leaves_films(spark, bronze, tmp_path):
+    build(spark, bronze, tmp_path / "silver")
     (bronze / "genres.json").write_text("[]", "utf-8")
     report = build(spark, bronze, tmp_path / "silver")
     assert (report["genres"], report["films"], report["film_genres"]) == (0, 5, 0)
+    status = pipeline.build_gold(spark, str(tmp_path / "silver"), str(tmp_path / "gold"))
+    assert {r["name"]: (r["ok"], r["row_count"]) for r in status.collect()} == {
+        name: (True, 4 if name.endswith("_por_ano") and name != "top_generos_por_ano" else 0)
+        for name in views.GOLD
+    }
+
+
+def test_no_valid_film_leaves_silver_alone(spark, bronze, tmp_path):
+    build(spark, bronze, tmp_path / "silver")
+    for name in ("a", "b"):
+        (bronze / "films" / f"{name}.jsonl").write_text('{"id": 1, "title": " "}\n', "utf-8")
+    report = build(spark, bronze, tmp_path / "silver")
+    assert (report["rows_in"], report["films"], report["film_genres"]) == (2, 0, 0)
+    assert pipeline.read_silver(spark, str(tmp_path / "silver")).film_genres.count() == 5
 
 
 def test_gold(spark, bronze, tmp_path):
