@@ -336,7 +336,7 @@ ORACLE: dict[str, str] = {
     "parquet_roundtrip": f"""WITH {PAIRS}
         SELECT * FROM pairs UNION ALL SELECT * FROM pairs""",
     "csv_roundtrip": "SELECT doc_id, text, lang FROM documents",
-    "silver_pipeline": f"""WITH {CLEAN}, {GENRES}
+    "silver_tables": f"""WITH {CLEAN}, {GENRES}
         SELECT clean.id, title AS titulo, {LABEL_CASES} AS idioma_original,
                release_date AS data_lancamento, popularity AS popularidade,
                vote_average AS nota_media, vote_count AS total_votos,

@@ -406,7 +406,7 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def silver_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+def silver_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze JSON to silver tables, shown as films with the ids of their genres."""
     root = new_folder(spark, "bronze")
     write_json_lines(star.raw_films(spark, folder), f"{root}/films")
