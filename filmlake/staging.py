@@ -2,36 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="filmlake-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``.
+    """The cluster's ``spark.checkpoint.dir``; without one, the session's warehouse.
 
-    Only a local master may go without it, since there one machine is the whole
-    cluster; anywhere else a missing setting is an error.
+    Executors reach both. Nothing is ever put into a folder of one machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder(context.applicationId)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
+
+
+def _files(spark: SparkSession, path: str):
+    """Spark's own view of a path and of the store it lies in."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path, jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path of its own below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/filmlake-{name}-{uuid.uuid4().hex}"
+    """A folder of its own below the shared one, deleted when the session's driver ends."""
+    path = f"{shared_folder(spark)}/filmlake-{name}-{uuid.uuid4().hex}"
+    jvm_path, files = _files(spark, path)
+    files.mkdirs(jvm_path)
+    files.deleteOnExit(jvm_path)
+    return path
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -45,6 +42,5 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table when the run that wrote it is over."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    jvm_path, files = _files(spark, path)
     files.delete(jvm_path, True)
