@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmlake.llm import substrings
+from filmlake.llm import near, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,3 +30,10 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words under windows of 35 that start in two places go."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return substrings.remove_repeats(docs, with_text=False).drop("text")
+
+
+@query
+def op9_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of three-word shingles are alike to 0.85."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near.near_duplicates(docs, shingle=3, percent=85).drop("tid")

@@ -122,7 +122,10 @@ def _kept(width: int, with_text: bool):
 def repeated_windows(texts: DataFrame, scratch: Scratch, width: int) -> DataFrame:
     """For each text with repeated windows, the words at which these start."""
     chosen = scratch.keep(texts.select(*ID, "text").mapInPandas(_chosen(width), _CHOSEN), "chosen")
-    shared = chosen.groupBy("name").agg(F.sum("weight").alias("n")).filter("n > 1").select("name")
+    # written, so that the join can split a name or window that many texts share
+    shared = scratch.keep(
+        chosen.groupBy("name").agg(F.sum("weight").alias("n")).filter("n > 1").select("name"), "shared"
+    )
     asked = (
         chosen.join(shared, "name", "left_semi")
         .groupBy(*ID)
@@ -134,8 +137,9 @@ def repeated_windows(texts: DataFrame, scratch: Scratch, width: int) -> DataFram
         .mapInPandas(_windows(width), _WINDOWS),
         "windows",
     )
-    repeated = (
-        windows.groupBy("window", "proof").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    repeated = scratch.keep(
+        windows.groupBy("window", "proof").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"),
+        "repeated",
     )
     found = scratch.keep(
         windows.join(repeated, ["window", "proof"], "left_semi")
@@ -143,7 +147,7 @@ def repeated_windows(texts: DataFrame, scratch: Scratch, width: int) -> DataFram
         .agg(F.collect_list("first").alias("firsts")),
         "found",
     )
-    scratch.drop("chosen", "windows")
+    scratch.drop("chosen", "shared", "windows", "repeated")
     return found
 
 
