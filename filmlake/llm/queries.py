@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmlake.llm import near, substrings
+from filmlake.llm import near, packing, sharding, substrings, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,3 +37,27 @@ def op9_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles are alike to 0.85."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return near.near_duplicates(docs, shingle=3, percent=85).drop("tid")
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens."""
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules first, then the reputation of the host."""
+    return urls.judge(table(spark, folder, "pages").select("page_id", "url"))
+
+
+ORACLE["op4_url_filters"] = urls.ORACLE
+
+SHARDS = tuple(f"shard-{i:03d}" for i in range(256))
+
+
+@query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard of every document, of 256."""
+    docs = table(spark, folder, "documents").select("doc_id")
+    return sharding.place(docs, "doc_id", SHARDS)
