@@ -15,9 +15,9 @@ registers, estimates the similarity; a candidate is dropped only when the estima
 five standard errors below the threshold. The rest is settled on the full sets.
 
 Equal sets are one class, so copies never meet each other. A band that few classes
-share gives all its pairs. In a band that many share, some of the most central classes
-(hubs) meet all others; those still in different groups then go on with new hubs, four
-times as many each time, until no two groups of a band are left unsettled. So no link that
+share gives all its pairs. In a band that many share, the most central class (hub) meets
+all others; those still in different groups then go on with new hubs, four times as many
+each time, until no two groups of a band are left unsettled. So no link that
 matters to the groups is lost, and a large group costs few pairs per member.
 """
 
@@ -40,8 +40,8 @@ BUCKETS = 128
 MANTISSA = 10
 # share of equal registers of different sets of one size, times two to the mantissa bits
 CHANCE = 0.1699
-# a band with more classes than this goes by hubs; so many hubs in the first round
-SMALL = 16
+# a band with more classes than this goes by hubs
+SMALL = 4
 
 _BITS = 57
 _PROBES = np.argsort(np.random.Generator(np.random.PCG64(7)).random((BUCKETS, BUCKETS)), axis=1)
@@ -216,10 +216,14 @@ def near_duplicates(
         pairs = scratch.keep(_candidates(found.distinct(), classes, percent), f"pairs_{name}")
         return scratch.keep(_links(pairs, sets, percent), f"links_{name}")
 
-    links = confirmed(pairs.select(*_paired("one", "two")), "0")
+    first = asked.groupBy("band").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
+    first = scratch.keep(first, "chosen_0")
+    met = asked.join(first, "band").filter("node <> hub").select(*_paired("node", "hub"))
+    links = confirmed(pairs.select(*_paired("one", "two")).union(met), "0")
     groups = components(links, scratch, "groups")
-    step, hubs = 0, SMALL
-    while not asked.isEmpty():
+    asked = asked.join(first.withColumnRenamed("hub", "node"), ["band", "node"], "left_anti")
+    step, hubs = 0, 4
+    while True:
         step += 1
         asked = asked.select("band", "node", "weight").join(groups, "node", "left")
         asked = scratch.keep(

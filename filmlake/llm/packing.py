@@ -47,8 +47,8 @@ def tokenized(docs: DataFrame, capacity: int, path: str, with_ids: bool, key: st
         own, end = tokenizer(path), np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             at, rows = [], []
-            for i, value in enumerate(batch["text"]):
-                raw = own.ids(value) + end
+            for i, raw in enumerate(own.ids(batch["text"].tolist())):
+                raw += end
                 for piece, first in enumerate(range(0, len(raw), 4 * capacity)):
                     ids = raw[first : first + 4 * capacity]
                     at.append(i)

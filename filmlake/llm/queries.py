@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmlake.llm import near, packing, sharding, substrings, urls
+from filmlake.llm import langid, near, packing, quality, sharding, substrings, toxicity, urls
+from filmlake.llm.steps import part
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,3 +62,31 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document, of 256."""
     docs = table(spark, folder, "documents").select("doc_id")
     return sharding.place(docs, "doc_id", SHARDS)
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from two thirds of the labelled ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").filter(part("doc_id", 3) != 1)
+    weights = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("target")))
+    held_out = F.coalesce(part("doc_id", 3) == 1, F.lit(False))
+    return quality.score(docs.select("doc_id", held_out.alias("held_out"), "text"), weights)
+
+
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    weights, cuts = toxicity.fit(toxicity.grade_labels(docs, labels))
+    return toxicity.severity(docs, weights, cuts)
+
+
+@query
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(part("doc_id", 4) == 2, F.lit(False))
+    filters = langid.fit(docs.filter(~held_out).select("text", "lang"))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), filters)

@@ -7,6 +7,7 @@ pieces between blanks, in order. Most pieces are frequent ones, so they are look
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -14,34 +15,70 @@ import public_tokenizers
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # pieces remembered per Python worker, some 100 MB
-CACHED = 400_000
+CACHED = 500_000
+# texts whose new pieces are learned together
+TOGETHER = 200
 
 
-class _Pieces(dict):
-    """Ids of a piece as bytes; those not yet known are encoded when asked for."""
+class Words:
+    """Ids of texts as bytes, with what this worker has met so far."""
 
-    def __init__(self, model) -> None:
-        self.model = model
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.model.encode(piece, add_special_tokens=False).ids
-        value = self[piece] = np.array(ids, dtype="<u4").tobytes()
-        return value
+        self.model = Tokenizer.from_file(path)
+        self.known: dict[str, bytes] = {}
+        vocabulary = self.model.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-class Words:
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of nothing but letters, which the tokenizer takes as one unit each, all at once."""
+        ids = self._encoded(" ".join(words))
+        cuts = np.flatnonzero(self.last[ids]) + 1
+        if len(cuts) == len(words):
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(words, (4 * cuts).tolist(), strict=True):
+                self.known[word] = raw[start:end]
+                start = end
+        else:
+            for word in words:
+                self.known[word] = self._encoded(word).tobytes()
 
-        self.pieces = _Pieces(Tokenizer.from_file(path))
+    def learn(self, pieces: set[str]) -> None:
+        """Make the ids of these pieces known."""
+        if len(self.known) > CACHED:
+            self.known.clear()
+        known = self.known
+        new = pieces - known.keys()
+        composed, words = [], set()
+        for piece in new:
+            # a word may end in a stop or comma, which is a unit of its own; letters of
+            # ASCII are lower-cased by the tokenizer whatever stands around them
+            word, tail = (piece[:-1], piece[-1]) if piece[-1:] in (".", ",") else (piece, "")
+            if word.isalpha():
+                word = word.lower() if word.isascii() else word
+                words.add(word)
+                composed.append((piece, word, tail))
+            else:
+                known[piece] = self._encoded(piece).tobytes() if piece else b""
+        words = [word for word in words if word not in known]
+        if words:
+            self._learn_words(words)
+        tails = {"": b"", ".": self._encoded(".").tobytes(), ",": self._encoded(",").tobytes()}
+        for piece, word, tail in composed:
+            known[piece] = known[word] + tails[tail]
 
-    def ids(self, text: str | None) -> bytes:
-        """Little-endian 32-bit ids of the text, without special tokens."""
-        if not text:
-            return b""
-        if len(self.pieces) > CACHED:
-            self.pieces.clear()
-        return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")))
+    def ids(self, texts: Sequence[str | None]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text, without special tokens."""
+        for first in range(0, len(texts), TOGETHER):
+            split = [(text or "").replace("\n", " ").split(" ") for text in texts[first : first + TOGETHER]]
+            self.learn(set().union(*split))
+            for pieces in split:
+                yield b"".join(map(self.known.__getitem__, pieces))
 
 
 @cache
