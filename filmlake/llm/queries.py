@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmlake.llm import langid, near, packing, quality, sharding, substrings, toxicity, urls
+from filmlake.llm import (
+    langid,
+    leaks,
+    near,
+    nearest,
+    packing,
+    quality,
+    sharding,
+    substrings,
+    toxicity,
+    urls,
+)
 from filmlake.llm.steps import part
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +101,16 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(part("doc_id", 4) == 2, F.lit(False))
     filters = langid.fit(docs.filter(~held_out).select("text", "lang"))
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), filters)
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that leaked into documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return leaks.find_leaks(docs, table(spark, folder, "benchmark")).drop("tid")
+
+
+@query
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    return nearest.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
