@@ -23,7 +23,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         .distinct(),
         f"{name}_0",
     )
-    step, before = 0, None
+    step = 0
     while True:
         step += 1
         # large star: neighbours above a node move to the smallest of its neighbourhood
@@ -44,8 +44,8 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         )
         scratch.drop(f"{name}_l{step}", f"{name}_g{step}", f"{name}_s{step}", f"{name}_{step - 1}")
         now = following
-        # links are distinct, so an equal count and sum mean the same links
-        after = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if after == before:
+        # done when every node has one link, to a node that has none of its own
+        many = now.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("v")
+        middle = now.select("v").join(now.select(F.col("u").alias("v")), "v", "left_semi")
+        if many.union(middle).isEmpty():
             return now.select(F.col("v").alias("node"), F.col("u").alias("root"))
-        before = after

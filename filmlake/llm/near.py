@@ -8,15 +8,15 @@ sets is at least ``percent`` hundredths; groups are what links connect.
 Sketch. The hash of a shingle names one of ``BUCKETS`` buckets; of each bucket the
 least hash is stored as its number of leading zeros and the ``MANTISSA`` bits after
 the leading one, 16 bits in all. An empty bucket takes the register of the first filled
-one in a fixed random order. Four registers make a band; documents that share a band are
-candidates. At similarity 0.85 all 32 bands differ with a chance of 6e-11, at 0.8 of 5e-8.
+one in a fixed random order. Six registers make a band; documents that share a band are
+candidates. At similarity 0.85 all 42 bands differ with a chance of 2e-9, at 0.8 of 3e-6.
 The share of equal registers, less the share expected from chance collisions of short
 registers, estimates the similarity; a candidate is dropped only when the estimate lies
 five standard errors below the threshold. The rest is settled on the full sets.
 
 Equal sets are one class, so copies never meet each other. A band that few classes
 share gives all its pairs. In a band that many share, the most central class (hub) meets
-all others; those still in different groups then go on with new hubs, four times as many
+all others; those still in different groups then go on with new hubs, sixteen times as many
 each time, until no two groups of a band are left unsettled. So no link that
 matters to the groups is lost, and a large group costs few pairs per member.
 """
@@ -36,16 +36,17 @@ from filmlake.llm.words import chain, encoded, hashed, mix
 
 SHINGLE = 5
 PERCENT = 80
-BUCKETS = 128
+BUCKETS = 256
 MANTISSA = 10
+BAND = 6
 # share of equal registers of different sets of one size, times two to the mantissa bits
 CHANCE = 0.1699
 # a band with more classes than this goes by hubs
 SMALL = 4
 
-_BITS = 57
+_BITS = 64 - 8
 _PROBES = np.argsort(np.random.Generator(np.random.PCG64(7)).random((BUCKETS, BUCKETS)), axis=1)
-_SIGNED = "doc_id {id}, tid long, n_shingles long, id1 long, id2 long, bands array<long>"
+_SIGNED = "doc_id {id}, tid long, n_shingles long, id1 long, id2 long, regs array<long>, bands array<long>"
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -73,6 +74,13 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def bands(regs: np.ndarray) -> np.ndarray:
+    """A hash of each band of registers and its place."""
+    count = BUCKETS // BAND
+    values = regs[: count * BAND].reshape(count, BAND).astype(np.uint64)
+    return mix(np.arange(count, dtype=np.uint64) + mix(chain(values.T, BAND)[0]))
+
+
 def _signed(width: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -81,12 +89,14 @@ def _signed(width: int):
                 for i in range(len(bounds) - 1):
                     own = shingles(words[bounds[i] : bounds[i + 1]], width)
                     if not len(own):
-                        rows.append((0, 0, 0, None))
+                        rows.append((0, 0, 0, None, None))
                         continue
                     total = np.add.reduce(own) ^ np.uint64(len(own))
                     other = np.bitwise_xor.reduce(mix(own))
-                    rows.append((len(own), int(total.view(np.int64)), int(other.view(np.int64)), registers(own).view(np.int64)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "id1", "id2", "bands"])
+                    regs = registers(own)
+                    ids = int(total.view(np.int64)), int(other.view(np.int64))
+                    rows.append((len(own), *ids, regs.view(np.int64), bands(regs).view(np.int64)))
+            out = pd.DataFrame(rows, columns=["n_shingles", "id1", "id2", "regs", "bands"])
             out["doc_id"], out["tid"] = batch["doc_id"], batch["tid"]
             yield out
 
@@ -110,7 +120,7 @@ def _sets(width: int):
 def _candidates(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a < b`` whose sizes and corrected estimate leave a link possible."""
     one, two = (
-        classes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n{side}"), F.col("bands").alias(f"s{side}"))
+        classes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n{side}"), F.col("regs").alias(f"s{side}"))
         for side in ("a", "b")
     )
     regs = F.lit(float(BUCKETS))
@@ -179,17 +189,15 @@ def near_duplicates(
     classes = scratch.keep(
         signed.filter("n_shingles > 0")
         .groupBy("id1", "id2")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"), F.first("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    bands = classes.select("node", F.posexplode("bands").alias("band", "value")).select(
-        "node", F.xxhash64("band", "value").alias("band")
-    )
+    banded = classes.select("node", F.explode("bands").alias("band"))
     shared = scratch.keep(
-        bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "shared"
+        banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "shared"
     )
-    members = scratch.keep(bands.join(shared, "band"), "members")
+    members = scratch.keep(banded.join(shared, "band"), "members")
     few = members.filter(F.col("size") <= SMALL).groupBy("band").agg(F.collect_list("node").alias("nodes"))
     pairs = few.select(F.posexplode("nodes").alias("at", "one"), "nodes").select(
         "one", F.explode(F.slice("nodes", F.col("at") + 2, SMALL)).alias("two")
@@ -200,12 +208,16 @@ def near_duplicates(
     asked = scratch.keep(many.join(central, "node").select("band", "node", "weight"), "open_0")
 
     owners = scratch.keep(
-        classes.join(members.select("node").distinct(), "node").select("node", "rep.doc_id", "rep.tid"), "owners"
+        classes.join(members.select("node").distinct(), "node").select(
+            "node", "rep.doc_id", "rep.tid", "n_shingles", "regs"
+        ),
+        "owners",
     )
+    wanted = owners.select("node", F.col("doc_id").alias("own_id"), F.col("tid").alias("own_tid"))
     sets = scratch.keep(
         source.join(
-            owners.hint("shuffle_hash"),
-            source["doc_id"].eqNullSafe(owners["doc_id"]) & (source["tid"] == owners["tid"]),
+            wanted.hint("shuffle_hash"),
+            F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("tid") == F.col("own_tid")),
         )
         .select("node", "text")
         .mapInPandas(_sets(shingle), "node long, own array<long>"),
@@ -213,7 +225,7 @@ def near_duplicates(
     )
 
     def confirmed(found: DataFrame, name: str) -> DataFrame:
-        pairs = scratch.keep(_candidates(found.distinct(), classes, percent), f"pairs_{name}")
+        pairs = scratch.keep(_candidates(found.distinct(), owners, percent), f"pairs_{name}")
         return scratch.keep(_links(pairs, sets, percent), f"links_{name}")
 
     first = asked.groupBy("band").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
@@ -229,18 +241,16 @@ def near_duplicates(
         asked = scratch.keep(
             asked.select("band", "node", "weight", F.coalesce("root", "node").alias("root")), f"rooted_{step}"
         )
-        unsettled = scratch.keep(
-            asked.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band"),
-            f"unsettled_{step}",
-        )
-        asked = scratch.keep(asked.join(unsettled, "band", "left_semi"), f"asked_{step}")
-        if asked.isEmpty():
-            break
+        sizes = asked.groupBy("band", "root").agg(F.count(F.lit(1)).alias("peers"))
+        sizes = scratch.keep(sizes, f"sizes_{step}")
+        unsettled = sizes.groupBy("band").agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1")
         # hubs come from the groups with the fewest classes in the band
-        sizes = scratch.keep(asked.groupBy("band", "root").agg(F.count(F.lit(1)).alias("peers")), f"sizes_{step}")
+        sizes = scratch.keep(sizes.join(unsettled.select("band"), "band"), f"unsettled_{step}")
+        if sizes.isEmpty():
+            break
+        asked = scratch.keep(asked.join(sizes, ["band", "root"]), f"asked_{step}")
         chosen = scratch.keep(
-            asked.join(sizes, ["band", "root"])
-            .groupBy("band", F.pmod(F.xxhash64("node"), F.lit(hubs)).alias("slot"))
+            asked.groupBy("band", F.pmod(F.xxhash64("node"), F.lit(hubs)).alias("slot"))
             .agg(F.max(F.struct(-F.col("peers"), "weight", "node", "root")).alias("hub"))
             .select("band", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root")),
             f"chosen_{step}",
@@ -253,7 +263,7 @@ def near_duplicates(
         asked = scratch.keep(
             asked.join(chosen.withColumnRenamed("hub", "node"), ["band", "node"], "left_anti"), f"open_{step}"
         )
-        hubs *= 4
+        hubs *= 16
     rooted = scratch.keep(
         classes.select("id1", "id2", "node", "rep.doc_id")
         .join(groups, "node", "left")
