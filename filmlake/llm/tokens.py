@@ -7,6 +7,7 @@ pieces between blanks, in order. Most pieces are frequent ones, so they are look
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterator, Sequence
 from functools import cache
 
@@ -16,6 +17,8 @@ import public_tokenizers
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # pieces remembered per Python worker, some 100 MB
 CACHED = 500_000
+# ASCII signs, none of which is part of a word or a number
+SIGNS = string.punctuation
 # texts whose new pieces are learned together
 TOGETHER = 200
 
@@ -53,24 +56,25 @@ class Words:
         if len(self.known) > CACHED:
             self.known.clear()
         known = self.known
-        new = pieces - known.keys()
-        composed, words = [], set()
-        for piece in new:
-            # a word may end in a stop or comma, which is a unit of its own; letters of
-            # ASCII are lower-cased by the tokenizer whatever stands around them
-            word, tail = (piece[:-1], piece[-1]) if piece[-1:] in (".", ",") else (piece, "")
+        composed = []
+        for piece in pieces - known.keys():
+            # signs after a word are a unit of their own; letters of ASCII are
+            # lower-cased by the tokenizer whatever stands around them
+            word = piece.rstrip(SIGNS)
             if word.isalpha():
-                word = word.lower() if word.isascii() else word
-                words.add(word)
-                composed.append((piece, word, tail))
+                composed.append((piece, word.lower() if word.isascii() else word, piece[len(word) :]))
             else:
                 known[piece] = self._encoded(piece).tobytes() if piece else b""
-        words = [word for word in words if word not in known]
+        words = list({word for _, word, _ in composed} - known.keys())
         if words:
             self._learn_words(words)
-        tails = {"": b"", ".": self._encoded(".").tobytes(), ",": self._encoded(",").tobytes()}
         for piece, word, tail in composed:
-            known[piece] = known[word] + tails[tail]
+            if tail:
+                if tail not in known:
+                    known[tail] = self._encoded(tail).tobytes()
+                known[piece] = known[word] + known[tail]
+            elif piece is not word:
+                known[piece] = known[word]
 
     def ids(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text, without special tokens."""
