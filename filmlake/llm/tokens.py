@@ -20,7 +20,7 @@ CACHED = 500_000
 # ASCII signs, none of which is part of a word or a number
 SIGNS = string.punctuation
 # texts whose new pieces are learned together
-TOGETHER = 200
+TOGETHER = 500
 
 
 class Words:
