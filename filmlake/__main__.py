@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import sys
 
 from filmlake.plans.contracts import contract_report
 from filmlake.plans.pipeline import build_gold, build_silver, read_silver
@@ -26,12 +27,17 @@ def main() -> None:
     report = build_silver(
         spark, options.films, options.genres, options.silver, options.as_of, options.pattern
     )
+    failed = 0
     for name, value in report.items():
         print(f"{name}: {value}")
     if report["films"]:
         contract_report(read_silver(spark, options.silver)).show(truncate=False)
-        build_gold(spark, options.silver, options.gold).show(truncate=False)
+        status = build_gold(spark, options.silver, options.gold)
+        status.show(truncate=False)
+        failed = status.filter("NOT ok").count()
     spark.stop()
+    if failed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -11,6 +11,7 @@ from filmlake.functions.measures import (
     mean,
     rounded_mean,
     rounded_weighted_mean,
+    settled,
     weighted_mean,
 )
 from filmlake.operators.relate import union_all
@@ -63,9 +64,9 @@ def rating_pattern(yearly: DataFrame) -> DataFrame:
         F.sum("filmes_por_genero").alias("numero_filmes"),
         F.min("ano").alias("ano_inicial"),
         F.max("ano").alias("ano_final"),
-        F.round(weighted, 2).alias("media_ponderada_geral"),
-        F.round(simple, 2).alias("media_simples_geral"),
-        F.round(weighted - simple, 2).alias("diferenca_medias"),
+        settled(weighted, 2).alias("media_ponderada_geral"),
+        settled(simple, 2).alias("media_simples_geral"),
+        settled(weighted - simple, 2).alias("diferenca_medias"),
     )
 
 

@@ -106,12 +106,16 @@ EXTRACTS = " UNION ALL ".join(
 
 
 def mean(value: str) -> str:
-    """Mean from an exact sum."""
-    return f"CAST(sum(CAST({value} AS DECIMAL(28,9))) AS DOUBLE) / count({value})"
+    return f"avg(CAST({value} AS DOUBLE))"
 
 
 def weighted(value: str, weight: str) -> str:
-    return f"CAST(sum(CAST({value} * {weight} AS DECIMAL(28,9))) AS DOUBLE) / sum({weight})"
+    return f"sum(CAST({value} AS DOUBLE) * {weight}) / sum({weight})"
+
+
+def settled(number: str, digits: int) -> str:
+    """Rounded to four digits more first, which takes away the noise of the order of a sum."""
+    return f"round(round({number}, {digits + 4}), {digits}) + CAST(0 AS DOUBLE)"  # no negative zero
 
 
 YEAR = "CAST(year(data_lancamento) AS INTEGER)"
@@ -119,32 +123,33 @@ YEAR = "CAST(year(data_lancamento) AS INTEGER)"
 YEARLY = f"""
 yearly AS (
     SELECT {YEAR} AS ano, genero, count(id) AS filmes_por_genero,
-           round({weighted("nota_media", "total_votos")}, 2) AS media_ponderada_anual,
-           round({mean("nota_media")}, 2) AS media_simples_anual
+           {settled(weighted("nota_media", "total_votos"), 2)} AS media_ponderada_anual,
+           {settled(mean("nota_media"), 2)} AS media_simples_anual
     FROM by_genre WHERE total_votos > 0 GROUP BY 1, 2
 )"""
 
 FILMS_PER_YEAR = f"SELECT count(*) AS numero_filmes, {YEAR} AS ano FROM films GROUP BY 2"
 
 POPULARITY_BY_YEAR = f"""
-SELECT {YEAR} AS ano, round({mean("popularidade")}, 2) AS media_popularidade,
+SELECT {YEAR} AS ano, {settled(mean("popularidade"), 2)} AS media_popularidade,
        count(*) AS qtd_filmes
 FROM films GROUP BY 1"""
 
 POPULARITY_BY_GENRE = f"""
-SELECT genero, round({mean("popularidade")}, 2) AS media_popularidade, count(*) AS qtd_filmes
+SELECT genero, {settled(mean("popularidade"), 2)} AS media_popularidade, count(*) AS qtd_filmes
 FROM by_genre GROUP BY genero"""
 
+DIFFERENCE = f"""{weighted("media_ponderada_anual", "filmes_por_genero")} - {mean("media_simples_anual")}"""
+
 RATING_PATTERN = f"""
 SELECT genero,
        CAST(sum(filmes_por_genero) AS BIGINT) AS numero_filmes,
        min(ano) AS ano_inicial,
        max(ano) AS ano_final,
-       round({weighted("media_ponderada_anual", "filmes_por_genero")}, 2)
+       {settled(weighted("media_ponderada_anual", "filmes_por_genero"), 2)}
            AS media_ponderada_geral,
-       round({mean("media_simples_anual")}, 2) AS media_simples_geral,
-       round({weighted("media_ponderada_anual", "filmes_por_genero")}
-             - {mean("media_simples_anual")}, 2) AS diferenca_medias
+       {settled(mean("media_simples_anual"), 2)} AS media_simples_geral,
+       {settled(DIFFERENCE, 2)} AS diferenca_medias
 FROM yearly GROUP BY genero"""
 
 TOP_FILMS = """
@@ -161,7 +166,7 @@ FROM (
     SELECT *, CAST(rank() OVER (PARTITION BY ano ORDER BY media_nota_ano DESC NULLS LAST)
                    AS INTEGER) AS rank_do_genero
     FROM (
-        SELECT {YEAR} AS ano, genero, round({mean("nota_media")}, 1) AS media_nota_ano
+        SELECT {YEAR} AS ano, genero, {settled(mean("nota_media"), 1)} AS media_nota_ano
         FROM by_genre GROUP BY 1, 2
     )
 ) WHERE rank_do_genero <= 3"""
@@ -182,7 +187,7 @@ LABEL_CASES = """CASE original_language WHEN 'fr' THEN 'Francês' WHEN 'fa' THEN
 ORACLE: dict[str, str] = {
     "films_per_year": f"WITH {FILMS} {FILMS_PER_YEAR}",
     "votes_by_language": f"""WITH {FILMS}
-        SELECT round({mean("total_votos")}, 2) AS media_votos, idioma_original
+        SELECT {settled(mean("total_votos"), 2)} AS media_votos, idioma_original
         FROM films GROUP BY idioma_original""",
     "popularity_by_year": f"WITH {FILMS} {POPULARITY_BY_YEAR}",
     "popularity_by_genre": f"WITH {BY_GENRE} {POPULARITY_BY_GENRE}",

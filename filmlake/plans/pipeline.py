@@ -138,9 +138,9 @@ def load_relational(
     tables: Silver,
     url: str,
     properties: Mapping[str, str],
+    writers: int,
     batch_size: int = 1000,
     timeout: int = 3600,
-    writers: int | None = None,
 ) -> None:
     """Append the silver tables to a relational schema, parents before the bridge."""
     write_jdbc(tables.genres, url, "generos", properties)

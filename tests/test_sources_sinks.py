@@ -154,17 +154,13 @@ def test_views_are_listed(spark):
     assert "zz_view" not in list_views(spark)
 
 
-def test_shared_folder_follows_the_session(spark, tmp_path):
+def test_shared_folder_follows_the_session():
     session = MagicMock()
-    session.conf.get.return_value = "hdfs://shared/folder/"
+    settings = {"spark.checkpoint.dir": "hdfs://shared/folder/", "spark.sql.warehouse.dir": "hdfs://house"}
+    session.conf.get.side_effect = lambda name, default=None: settings.get(name, default)
     assert staging.shared_folder(session) == "hdfs://shared/folder"
-    session.conf.get.return_value = None
-    session.sparkContext.master = "yarn"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.shared_folder(session)
-    session.sparkContext.master = "local[2]"
-    session.sparkContext.applicationId = "app"
-    assert staging.shared_folder(session) == staging.shared_folder(session)
+    del settings["spark.checkpoint.dir"]
+    assert staging.shared_folder(session) == "hdfs://house"
 
 
 def test_stage_and_discard(spark, tmp_path):
@@ -220,5 +216,5 @@ def test_parents_are_loaded_before_the_bridge():
         writer = frames[name].write.mode.return_value
         writer.option.return_value = writer
         writer.jdbc.side_effect = lambda url, table, properties: order.append(table)
-    load_relational(Silver(**frames, by_genre=MagicMock()), "jdbc:x", {})
+    load_relational(Silver(**frames, by_genre=MagicMock()), "jdbc:x", {}, writers=4)
     assert order == ["generos", "filmes", "filmes_generos"]
