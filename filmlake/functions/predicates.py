@@ -48,12 +48,13 @@ def is_released(
 def is_valid_film(
     as_of: dt.date | str | None = None, date_format: str | None = DATE_FORMAT
 ) -> Column:
-    """A record worth keeping: dated, titled, with a genre list, already released.
+    """A record worth keeping: with an id, dated, titled, with a genre list, already released.
 
     An empty genre list passes, a missing one does not.
     """
     return (
-        has_text("title")
+        F.col("id").isNotNull()
+        & has_text("title")
         & F.col("genre_ids").isNotNull()
         & has_text("release_date")
         & is_released("release_date", as_of, date_format)

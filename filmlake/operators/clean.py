@@ -75,6 +75,7 @@ def audit_columns(
     dated = has_text("release_date")
     readable = parsed_date("release_date", date_format).isNotNull()
     failures = {
+        "no_id": F.col("id").isNull(),
         "no_title": ~has_text("title"),
         "no_genres": F.col("genre_ids").isNull(),
         "no_date": ~dated,

@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from filmlake.operators.relate import union_all
 
-# rows a side may have to be broadcast by hint
-BROADCAST_ROWS = 100_000
-
 
 def ranked_top(
     df: DataFrame, by: Sequence[str], order: str, k: int, rank: str = "ranking"
@@ -28,38 +25,37 @@ def ranked_top(
 
 
 def top_with_ties(
-    df: DataFrame,
-    by: Sequence[str],
-    order: str,
-    k: int,
-    rank: str = "ranking",
-    groups: int | None = None,
+    df: DataFrame, by: Sequence[str], order: str, k: int, rank: str = "ranking"
 ) -> DataFrame:
     """The rows of ``ranked_top`` without bringing a group, or its ties, together.
 
-    The k best values of a group, repeats counted, settle which values have a
-    place: a value's place is its first position among them. Each task passes on
-    k values per group, whatever the group's size, as long as k stays within
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 unless set). That
-    small table of places is then joined back to the rows by value.
-
-    ``groups`` is a bound on the number of groups the caller can prove; the
-    places, k per group, are broadcast when it is small enough. Without one the
-    optimizer chooses the join.
+    A group is dealt over as many parts as there are shuffle partitions, by a hash
+    of the row. A row whose rank within its part is over ``k`` has no place in its
+    group, so only candidates go on; up to a ``k`` of
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` each task finds its own
+    before it sends any. The counts of the candidates by value settle the place
+    of each value: one more than the rows above it. Places meet the candidates
+    by group, part and value, so neither a group nor equal values gather.
+    Columns must be of types that can be hashed.
     """
-    best = Window.partitionBy(*by).orderBy(F.col(order).desc_nulls_last())
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    best = F.col(order).desc_nulls_last()
+    near = (
+        df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(parts)).cast("int"))
+        .withColumn("_near", F.rank().over(Window.partitionBy(*by, "_part").orderBy(best)))
+        .filter(F.col("_near") <= k)
+    )
+    above = Window.partitionBy(*by).orderBy(best).rowsBetween(Window.unboundedPreceding, -1)
     places = (
-        df.select(*by, order)
-        .withColumn(rank, F.row_number().over(best))
+        near.groupBy(*by, order)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn(rank, (F.coalesce(F.sum("_rows").over(above), F.lit(0)) + 1).cast("int"))
         .filter(F.col(rank) <= k)
-        .groupBy(*by, order)
-        .agg(F.min(rank).alias(rank))
-        .select(*(F.col(name).alias(f"_{name}") for name in (*by, order)), rank)
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        .select(*(F.col(name).alias(f"_of_{name}") for name in (*by, order, "_part")), rank)
     )
-    if groups is not None and groups * k <= BROADCAST_ROWS:
-        places = F.broadcast(places)
-    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_{name}")) for name in (*by, order)))
-    return df.join(places, same).select(*df.columns, rank)
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in (*by, order)))
+    return near.join(places, same & (F.col("_part") == F.col("_of__part"))).select(*df.columns, rank)
 
 
 def first_rows(df: DataFrame, n: int, key: Sequence[str] = ()) -> DataFrame:
@@ -87,7 +83,6 @@ SORT_KEYS = tuple(f"{field}.{way}" for field in SORT_FIELDS for way in ("desc",
 # A collection takes every sort key but the most popular first
 EXTRACTS = tuple(key for key in SORT_KEYS if key != "popularity.desc")
 PAGE_SIZE = 20
-PAGES = 500
 
 # the record field behind a sort field, where the names differ
 FIELD_COLUMNS = {"primary_release_date": "release_date"}
@@ -106,35 +101,43 @@ def sorted_page(
     df: DataFrame,
     sort_by: str,
     first_page: int = 1,
-    pages: int = PAGES,
+    pages: int | None = None,
     page_size: int = PAGE_SIZE,
     key: str = "id",
 ) -> DataFrame:
     """``pages`` pages of the sorted table from ``first_page`` on, ties by ``key``.
 
-    Each task keeps its best rows and only those travel, as many as there are up
-    to the last page asked for; no full sort takes place.
+    Without ``pages`` it is the whole table, sorted over all tasks. Asked for some
+    pages, each task keeps its best rows and only those travel, as many as there
+    are up to the last page; no full sort takes place.
     """
-    return (
-        df.orderBy(sort_order(sort_by), F.col(key).asc())
-        .offset((first_page - 1) * page_size)
-        .limit(pages * page_size)
-    )
+    ordered = df.orderBy(sort_order(sort_by), F.col(key).asc())
+    if pages is None:
+        if first_page != 1:
+            raise ValueError("all pages start with the first")
+        return ordered
+    return ordered.offset((first_page - 1) * page_size).limit(pages * page_size)
 
 
 def union_of_extracts(
     df: DataFrame,
     sort_keys: Sequence[str] = EXTRACTS,
-    pages: int = PAGES,
+    pages: int | None = None,
     page_size: int = PAGE_SIZE,
     key: str = "id",
 ) -> DataFrame:
-    """One sorted extract per sort key, tagged with it; a row may be in many.
+    """One extract per sort key, tagged with it; a row may be in many.
 
-    ``key`` identifies a row. The extracts are settled on two columns each, and
-    the whole rows are fetched in one further pass for all of them. The limits
-    tell the optimizer how small the settled side is.
+    Without ``pages`` every extract holds every row, in one pass over the table
+    and without a shuffle. With a number of pages, ``key`` identifies a row; the
+    extracts are settled on two columns each, and the whole rows are fetched in
+    one further pass for all of them.
     """
+    if pages is None:
+        for sort_by in sort_keys:
+            sort_order(sort_by)
+        tags = F.explode(F.array(*map(F.lit, sort_keys)))
+        return df.select(tags.alias("extract"), *df.columns)
     chosen = union_all([
         sorted_page(df, sort_by, pages=pages, page_size=page_size, key=key).select(
             F.col(key).alias("_key"), F.lit(sort_by).alias("extract")

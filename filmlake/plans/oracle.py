@@ -99,8 +99,10 @@ EXTRACT_ORDERS = {
     "vote_count.asc": "vote_count ASC",
 }
 
-EXTRACTS = " UNION ALL ".join(
-    f"(SELECT '{name}' AS extract, * FROM catalogue ORDER BY {order}, id LIMIT 10000)"
+EXTRACTS = " UNION ALL ".join(f"SELECT '{name}' AS extract, * FROM catalogue" for name in EXTRACT_ORDERS)
+
+EXTRACT_PAGES = " UNION ALL ".join(
+    f"(SELECT '{name}' AS extract, * FROM catalogue ORDER BY {order}, id LIMIT 40)"
     for name, order in EXTRACT_ORDERS.items()
 )
 
@@ -184,6 +186,20 @@ known AS (
 LABEL_CASES = """CASE original_language WHEN 'fr' THEN 'Francês' WHEN 'fa' THEN 'Persa'
             WHEN 'or' THEN 'Oriya' END"""
 
+ORDER_TYPES = {
+    "o_orderkey": "bigint",
+    "o_custkey": "bigint",
+    "o_orderstatus": "string",
+    "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz",
+    "o_orderpriority": "string",
+}
+
+
+def contents(name: str, labels: str, number: str, result: str) -> str:
+    return f"SELECT '{name}' AS result, concat_ws('|', {labels}) AS label, CAST({number} AS DOUBLE) AS number FROM ({result})"
+
+
 ORACLE: dict[str, str] = {
     "films_per_year": f"WITH {FILMS} {FILMS_PER_YEAR}",
     "votes_by_language": f"""WITH {FILMS}
@@ -213,6 +229,10 @@ ORACLE: dict[str, str] = {
     "first_genres": f"WITH {GENRES} SELECT * FROM genres ORDER BY id LIMIT 20",
     "first_pairs": f"""WITH {PAIRS}
         SELECT * FROM pairs ORDER BY id_filme, id_genero LIMIT 20""",
+    "schema_rows": " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, '{type_}' AS column_type, count(*) FILTER (WHERE {name} IS NULL) AS null_count FROM orders"
+        for name, type_ in ORDER_TYPES.items()
+    ),
     "sample_rows": "SELECT * FROM documents ORDER BY doc_id LIMIT 5",
     "genres_of_title": f"""WITH {BY_GENRE}
         SELECT id AS id_filme, titulo, genero, id_genero FROM by_genre
@@ -262,6 +282,7 @@ ORACLE: dict[str, str] = {
     "cleaning_audit": f"""WITH {RAW}
         SELECT count(*) AS rows_in,
                count(*) FILTER (WHERE {VALID}) AS rows_valid,
+               count(*) FILTER (WHERE id IS NULL) AS no_id,
                count(*) FILTER (WHERE coalesce(trim(title), '') = '') AS no_title,
                count(*) FILTER (WHERE genre_ids IS NULL) AS no_genres,
                count(*) FILTER (WHERE coalesce(trim(release_date), '') = '') AS no_date,
@@ -327,6 +348,7 @@ ORACLE: dict[str, str] = {
         SELECT NULL, s_suppkey, s_nationkey, s_name, s_acctbal FROM supplier""",
     "sorted_page": f"""WITH {CATALOGUE}
         SELECT * FROM catalogue ORDER BY release_date DESC, id LIMIT 200 OFFSET 40""",
+    "extract_pages": f"WITH {CATALOGUE} {EXTRACT_PAGES}",
     "union_of_extracts": f"WITH {CATALOGUE} {EXTRACTS}",
     "jsonl_roundtrip": f"""WITH {RAW}
         SELECT id, title, original_language, release_date,
@@ -338,6 +360,10 @@ ORACLE: dict[str, str] = {
     "json_array_roundtrip": f"""WITH {GENRES}, {PAIRS}
         SELECT id, genero, count(*) AS film_count
         FROM genres JOIN pairs ON id_genero = id GROUP BY id, genero""",
+    "json_arrays": "SELECT o_orderkey AS id, o_orderpriority AS genero FROM orders",
+    "empty_input": f"""WITH {RAW}
+        SELECT '*.json' AS table_name, count(*) AS row_count FROM raw
+        UNION ALL SELECT '*.none', 0""",
     "parquet_roundtrip": f"""WITH {PAIRS}
         SELECT * FROM pairs UNION ALL SELECT * FROM pairs""",
     "csv_roundtrip": "SELECT doc_id, text, lang FROM documents",
@@ -360,4 +386,20 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'popularidade_vs_nota_media', true, count(*) FROM ({GENRES_TEXT})
         UNION ALL SELECT 'popularidade_por_ano', true, count(*) FROM ({POPULARITY_BY_YEAR})
         UNION ALL SELECT 'generos_por_popularidade', true, count(*) FROM ({POPULARITY_BY_GENRE})""",
+    "gold_contents": f"WITH {BY_GENRE}, {YEARLY} " + " UNION ALL ".join([
+        contents("filmes_lancados_por_ano", "ano", "numero_filmes", FILMS_PER_YEAR),
+        contents(
+            "padrao_avaliacao", "genero, numero_filmes, ano_inicial, ano_final", "diferenca_medias", RATING_PATTERN
+        ),
+        contents("top_filmes_por_genero", "genero, titulo, ranking", "nota_media", TOP_FILMS),
+        contents("top_generos_por_ano", "ano, rank_do_genero, genero", "media_nota_ano", TOP_GENRES),
+        contents(
+            "popularidade_vs_nota_media", "titulo, round(nota_media, 2), generos", "popularidade", GENRES_TEXT
+        ),
+        contents("popularidade_por_ano", "ano, qtd_filmes", "media_popularidade", POPULARITY_BY_YEAR),
+        contents("generos_por_popularidade", "genero, qtd_filmes", "media_popularidade", POPULARITY_BY_GENRE),
+    ]),
+    "export_isolation": """
+        SELECT 'isolated_fails' AS name, false AS ok, CAST(NULL AS BIGINT) AS row_count
+        UNION ALL SELECT 'isolated_works', true, count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderpriority)""",
 }

@@ -3,26 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from filmlake.functions.languages import LANGUAGE_LABELS
-from filmlake.functions.predicates import DATE_FORMAT
+from filmlake.functions.predicates import DATE_FORMAT, is_valid_film
 from filmlake.operators.clean import audit_columns, clean_films, corrupt_column
-from filmlake.operators.ranking import EXTRACTS, PAGE_SIZE, PAGES, union_of_extracts
+from filmlake.operators.ranking import EXTRACTS, PAGE_SIZE, union_of_extracts
 from filmlake.operators.relate import film_genre_pairs, films_of, matching
 from filmlake.plans.views import MIN_VOTES, TOP, Silver, register_tables, register_views
-from filmlake.schemas import FILM_GENRES, FILMS, GENRES, conform
+from filmlake.schemas import CORRUPT, FILM_GENRES, FILMS, GENRES, conform
 from filmlake.sinks import (
     write_csv,
     write_jdbc,
     write_json_lines,
     write_parquet,
-    write_parquet_unless_empty,
 )
 from filmlake.sources import FILM_FILES, list_views, read_films, read_genres
-from filmlake.staging import discard, new_folder, stage
+from filmlake.staging import discard, new_folder, replace, stage
 
 EXPORT_STATUS = "name string, ok boolean, row_count long, error string"
 
@@ -31,10 +31,10 @@ def collect_extracts(
     catalogue: DataFrame,
     folder: str,
     sort_keys=EXTRACTS,
-    pages: int = PAGES,
+    pages: int | None = None,
     page_size: int = PAGE_SIZE,
 ) -> int:
-    """Append one sorted extract of the catalogue per sort key; rows written.
+    """Append one extract of the catalogue per sort key, all of it unless pages are given; rows written.
 
     The extracts overlap, and so do repeated collections; ``build_silver``
     settles that.
@@ -57,42 +57,42 @@ def build_silver(
 ) -> dict[str, int]:
     """Bronze JSON to the tables ``films``, ``genres`` and ``film_genres``.
 
-    The JSON is parsed once, into a staged table of the used columns; that job
-    has no shuffle, so the audit it counts is exact even when tasks run twice.
-    The clean records are staged too: the duplicates are settled once, and films
-    and pairs come from the same survivors without a further shuffle.
+    The JSON is parsed once, and its valid records are staged; that job has no
+    shuffle, so the audit it counts is exact even when tasks run twice. The clean
+    records are staged too: the duplicates are settled once, and films and pairs
+    come from the same survivors without a further shuffle.
 
-    Without a valid film, films and pairs stay as they were. Returns the audit,
-    and the rows of each table.
+    The three tables are written beside the present ones and take their places
+    together at the end. Without a valid film all three stay as they were.
+    Returns the audit, and the rows of each table that was built.
     """
-    report = {"genres": write_parquet(conform(read_genres(spark, genre_file), GENRES), f"{silver}/genres")}
-    genres = spark.read.schema(GENRES).parquet(f"{silver}/genres")
-    scratch = new_folder(spark, "silver")
+    scratch, new = new_folder(spark, "silver"), f"{silver}/_new-{uuid.uuid4().hex}"
     try:
         audit = Observation()
         raw = read_films(spark, film_folder, pattern).observe(
             audit, *audit_columns(as_of, date_format), corrupt_column()
         )
-        raw = stage(raw.drop("source_file"), f"{scratch}/raw")
+        valid = raw.filter(is_valid_film(as_of, date_format)).drop("source_file", CORRUPT)
+        valid = stage(valid, f"{scratch}/valid")
+        report = {"genres": write_parquet(conform(read_genres(spark, genre_file), GENRES), f"{new}/genres")}
         report |= audit.get
-        if report["rows_in"] == 0:
+        if report["rows_valid"] == 0:
             return report | {"films": 0, "film_genres": 0}
 
-        records = stage(clean_films(raw, as_of, date_format), f"{scratch}/records")
+        records = stage(clean_films(valid, as_of, date_format), f"{scratch}/records")
         films = conform(films_of(records, labels, date_format), FILMS)
-        report["films"] = write_parquet_unless_empty(films, f"{silver}/films", film_files)
-        if report["films"] == 0:
-            return report | {"film_genres": 0}
-
-        # written even when empty, since pairs of earlier films would be left otherwise
+        report["films"] = write_parquet(films, f"{new}/films", num_files=film_files)
+        genres = spark.read.schema(GENRES).parquet(f"{new}/genres")
         pairs = matching(film_genre_pairs(records), "id_genero", genres, "id")
         report["film_genres"] = write_parquet(
-            conform(pairs, FILM_GENRES), f"{silver}/film_genres", num_files=pair_files
+            conform(pairs, FILM_GENRES), f"{new}/film_genres", num_files=pair_files
         )
+        replace(spark, new, silver, ("genres", "films", "film_genres"))
         report["rows_removed"] = report["rows_in"] - report["films"]
         return report
     finally:
         discard(spark, scratch)
+        discard(spark, new)
 
 
 def read_silver(spark: SparkSession, silver: str) -> Silver:
@@ -103,9 +103,12 @@ def read_silver(spark: SparkSession, silver: str) -> Silver:
     )
 
 
-def join_silver(tables: Silver, silver: str) -> Silver:
-    """Write films joined to their genres once, for the five results that use it."""
-    written = stage(tables.by_genre, f"{silver}/films_by_genre")
+def join_silver(spark: SparkSession, tables: Silver) -> Silver:
+    """Write films joined to their genres once, for the five results that use it.
+
+    The views read that table, so it goes when the session's driver ends.
+    """
+    written = stage(tables.by_genre, f"{new_folder(spark, 'gold')}/films_by_genre")
     return Silver(tables.films, tables.genres, tables.film_genres, written)
 
 
@@ -129,7 +132,7 @@ def build_gold(
     spark: SparkSession, silver: str, gold: str, min_votes: int = MIN_VOTES, k: int = TOP
 ) -> DataFrame:
     """Silver tables to named views and one CSV dataset per view; export status."""
-    tables = join_silver(read_silver(spark, silver), silver)
+    tables = join_silver(spark, read_silver(spark, silver))
     register_tables(tables)
     return export_views(spark, gold, register_views(tables, min_votes, k))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from filmlake.functions.languages import LANGUAGE_LABELS
 from filmlake.operators import clean, ranking, relate
+from filmlake.operators.aggregate import row_counts as row_counts_of
 from filmlake.operators.aggregate import yearly_ratings
 from filmlake.operators.checks import key_violations, orphans, text_violations
 from filmlake.plans import contracts, pipeline, star, views
@@ -20,7 +21,7 @@ from filmlake.sinks import (
     write_parquet,
     write_parquet_unless_empty,
 )
-from filmlake.sources import local_rows, read_films, read_genres
+from filmlake.sources import list_views, local_rows, read_films, read_genres
 from filmlake.staging import discard, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,9 +77,7 @@ def rating_pattern(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def top_films_by_genre(spark: SparkSession, folder: str) -> DataFrame:
-    silver = star.silver(spark, folder)
-    groups = views.known_groups(silver.genres)
-    return views.top_films_by_genre(silver.by_genre, star.MIN_VOTES, groups=groups)
+    return views.top_films_by_genre(star.by_genre(spark, folder, with_votes=True), star.MIN_VOTES)
 
 
 @query
@@ -123,6 +122,15 @@ def first_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.first_rows(star.film_genres(spark, folder), 20, ["id_filme", "id_genero"])
 
 
+@query
+def schema_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Name and type of each column, and how many rows lack it."""
+    orders = star.table(spark, folder, "orders")
+    lacking = orders.select(*(F.count_if(F.col(name).isNull()).alias(name) for name in orders.columns))
+    counts = lacking.unpivot([], orders.columns, "column_name", "null_count")
+    return ranking.schema_rows(orders).join(counts, "column_name")
+
+
 @query
 def sample_rows(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.first_rows(star.table(spark, folder, "documents"), 5, ["doc_id"])
@@ -333,6 +341,12 @@ def sorted_page(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def extract_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The first two pages of each extract."""
+    return ranking.union_of_extracts(star.catalogue(spark, folder), pages=2)
+
+
 @query
 def union_of_extracts(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.union_of_extracts(star.catalogue(spark, folder))
@@ -376,6 +390,27 @@ def json_array_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_genres(spark, path).join(pairs, F.col("id") == F.col("id_genero")).drop("id_genero")
 
 
+@query
+def json_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of many JSON documents."""
+    path = new_folder(spark, "arrays")
+    orders = star.table(spark, folder, "orders")
+    write_json_array(
+        orders.select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderpriority").alias("genero")),
+        path,
+        document_rows=1000,
+    )
+    return read_genres(spark, path)
+
+
+@query
+def empty_input(spark: SparkSession, folder: str) -> DataFrame:
+    """Records counted by a file pattern that matches, and by one that does not."""
+    path = new_folder(spark, "patterns")
+    write_json_lines(star.raw_films(spark, folder), path)
+    return row_counts_of({name: read_films(spark, path, name) for name in ("*.json", "*.none")})
+
+
 @query
 def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Overwritten in three files, appended to, and left alone by an empty table."""
@@ -424,16 +459,67 @@ def silver_tables(spark: SparkSession, folder: str) -> DataFrame:
     return _text_date(films)
 
 
-@query
-def gold_export_status(spark: SparkSession, folder: str) -> DataFrame:
-    """Silver tables to every named result as CSV; how each export went."""
-    root = new_folder(spark, "lake")
+def _gold(spark: SparkSession, folder: str, root: str) -> DataFrame:
     silver = star.silver(spark, folder)
     write_parquet(conform(silver.films, FILMS), f"{root}/silver/films")
     write_parquet(conform(silver.genres, GENRES), f"{root}/silver/genres")
     write_parquet(silver.film_genres, f"{root}/silver/film_genres")
-    status = pipeline.build_gold(
-        spark, f"{root}/silver", f"{root}/gold", min_votes=star.MIN_VOTES
-    )
+    return pipeline.build_gold(spark, f"{root}/silver", f"{root}/gold", min_votes=star.MIN_VOTES)
+
+
+@query
+def gold_export_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver tables to every named result as CSV; how each export went."""
+    root = new_folder(spark, "lake")
+    status = _gold(spark, folder, root)
+    discard(spark, root)
+    return status.drop("error")
+
+
+# of each result, the columns that name a row and the one that is compared as a number
+GOLD_COLUMNS = {
+    "filmes_lancados_por_ano": (["ano"], "numero_filmes"),
+    "padrao_avaliacao": (["genero", "numero_filmes", "ano_inicial", "ano_final"], "diferenca_medias"),
+    "top_filmes_por_genero": (["genero", "titulo", "ranking"], "nota_media"),
+    "top_generos_por_ano": (["ano", "rank_do_genero", "genero"], "media_nota_ano"),
+    "popularidade_vs_nota_media": (["titulo", "nota_media", "generos"], "popularidade"),
+    "popularidade_por_ano": (["ano", "qtd_filmes"], "media_popularidade"),
+    "generos_por_popularidade": (["genero", "qtd_filmes"], "media_popularidade"),
+}
+
+
+@query
+def gold_contents(spark: SparkSession, folder: str) -> DataFrame:
+    """What the CSV files of every result hold."""
+    root = new_folder(spark, "contents")
+    _gold(spark, folder, root)
+    parts = []
+    for name, (labels, number) in GOLD_COLUMNS.items():
+        schema = spark.table(name).schema
+        rows = spark.read.schema(schema).option("header", True).option("escape", '"').csv(f"{root}/gold/{name}")
+        texts = (F.round(c, 2) if schema[c].dataType.typeName() == "double" else F.col(c) for c in labels)
+        parts.append(rows.select(
+            F.lit(name).alias("result"),
+            F.concat_ws("|", *(text.cast("string") for text in texts)).alias("label"),
+            F.col(number).cast("double").alias("number"),
+        ))
+    return relate.union_all(parts)
+
+
+@query
+def export_isolation(spark: SparkSession, folder: str) -> DataFrame:
+    """A view that fails while it is exported, and one beside it that does not."""
+    orders = star.table(spark, folder, "orders")
+    made = {
+        "isolated_fails": orders.select(F.col("o_orderpriority").cast("int").alias("number")),
+        "isolated_works": orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders")),
+    }
+    for name, df in made.items():
+        df.createOrReplaceTempView(name)
+    root = new_folder(spark, "isolation")
+    names = [name for name in list_views(spark) if name in made]
+    status = pipeline.export_views(spark, root, names)
+    for name in made:
+        spark.catalog.dropTempView(name)
     discard(spark, root)
     return status.drop("error")

@@ -16,7 +16,7 @@ from filmlake.operators.aggregate import (
     text_per_group,
     yearly_ratings,
 )
-from filmlake.operators.ranking import BROADCAST_ROWS, ranked_top, top_with_ties
+from filmlake.operators.ranking import ranked_top, top_with_ties
 from filmlake.operators.relate import films_by_genre
 
 TOP = 3
@@ -81,13 +81,11 @@ def genre_rating_pattern(by_genre: DataFrame) -> DataFrame:
     return rating_pattern(yearly_ratings(by_genre))
 
 
-def top_films_by_genre(
-    by_genre: DataFrame, min_votes: int = MIN_VOTES, k: int = TOP, groups: int | None = None
-) -> DataFrame:
+def top_films_by_genre(by_genre: DataFrame, min_votes: int = MIN_VOTES, k: int = TOP) -> DataFrame:
     """Best rated films per genre; ranked on the rating itself, printed rounded."""
     voted = by_genre.filter(F.col("total_votos") > min_votes)
     rows = voted.select("genero", "titulo", "nota_media")
-    return top_with_ties(rows, ["genero"], "nota_media", k, groups=groups).select(
+    return top_with_ties(rows, ["genero"], "nota_media", k).select(
         "genero", "titulo", F.round("nota_media", 2).alias("nota_media"), "ranking"
     )
 
@@ -129,12 +127,6 @@ def table_sizes(silver: Silver) -> DataFrame:
     return row_counts(silver.tables())
 
 
-def known_groups(genres: DataFrame) -> int | None:
-    """Number of genres if it is small enough to rely on, else None."""
-    rows = genres.limit(BROADCAST_ROWS + 1).count()
-    return rows if rows <= BROADCAST_ROWS else None
-
-
 # The names the results are exported under
 GOLD = (
     "filmes_lancados_por_ano",
@@ -152,7 +144,7 @@ def gold_results(silver: Silver, min_votes: int = MIN_VOTES, k: int = TOP) -> di
     return dict(zip(GOLD, (
         films_per_year(silver.films),
         genre_rating_pattern(silver.by_genre),
-        top_films_by_genre(silver.by_genre, min_votes, k, known_groups(silver.genres)),
+        top_films_by_genre(silver.by_genre, min_votes, k),
         top_genres_by_year(silver.by_genre, k),
         genres_text_per_film(silver.by_genre),
         popularity_by_year(silver.films),

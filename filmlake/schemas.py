@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -67,6 +67,14 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select, cast and order the columns of ``df`` as ``schema`` says.
 
     Extra columns go away; a missing one is an analysis error and a value that
-    does not cast is a runtime error (ANSI), since by then data must be clean.
+    does not cast is a runtime error (ANSI), since by then data must be clean. So is
+    a NULL in a column that may hold none.
     """
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+
+    def brought(f: StructField) -> Column:
+        value = F.col(f.name).cast(f.dataType)
+        if not f.nullable:
+            value = F.coalesce(value, F.raise_error(F.lit(f"NULL in column {f.name}")).cast(f.dataType))
+        return value.alias(f.name)
+
+    return df.select(*map(brought, schema))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-# rows a table may have to be written as one JSON document
+# rows of one JSON document
 DOCUMENT_ROWS = 10_000
 
 
@@ -65,14 +65,18 @@ def write_json_lines(df: DataFrame, path: str, split_by: str | None = None) -> i
     return seen.get["rows"]
 
 
-def write_json_array(df: DataFrame, path: str, max_rows: int = DOCUMENT_ROWS) -> None:
-    """Write a small table as one JSON array, rows in column order.
+def write_json_array(df: DataFrame, path: str, document_rows: int = DOCUMENT_ROWS) -> None:
+    """Write a table as JSON arrays, one document a file, up to ``document_rows`` rows each.
 
-    One document is one row of one task, so a table over ``max_rows`` is refused
-    and belongs into ``write_json_lines``.
+    A small table is one document, rows in column order. A larger one is dealt by
+    its values and written by many tasks; a value of many rows goes over several
+    documents. An empty table gives no document. Columns must be of types that
+    can be hashed and sorted.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"over {max_rows} rows do not fit one JSON document")
+    dealt = df.repartition(*df.columns).sortWithinPartitions(*df.columns)
+    at = F.floor(F.monotonically_increasing_id() / document_rows).alias("_document")
     rows = F.sort_array(F.collect_list(F.struct(*df.columns)))
-    document = df.agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias("value"))
-    document.write.mode("overwrite").text(path)
+    documents = dealt.select(at, *df.columns).groupBy("_document").agg(
+        F.to_json(rows, {"ignoreNullFields": "false"}).alias("value")
+    )
+    documents.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,27 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def replace(spark: SparkSession, new: str, target: str, tables: Sequence[str]) -> None:
+    """Put the tables below ``new``, all of them written, in the place of those below ``target``.
+
+    Only names change in this step, so a failure before it leaves all old tables,
+    and the old ones are deleted after the last new one has its name.
+    """
+    old = f"{new}/_old"
+    _, files = _files(spark, target)
+    for folder in (old, target):
+        files.mkdirs(_files(spark, folder)[0])
+    moves = [(f"{target}/{name}", f"{old}/{name}") for name in tables]
+    moves += [(f"{new}/{name}", f"{target}/{name}") for name in tables]
+    for source, goal in moves:
+        path = _files(spark, source)[0]
+        if files.exists(path) and not files.rename(path, _files(spark, goal)[0]):
+            raise OSError(f"{source} could not be moved to {goal}")
+    discard(spark, new)
+    for name in tables:
+        spark.catalog.refreshByPath(f"{target}/{name}")
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table when the run that wrote it is over."""
     jvm_path, files = _files(spark, path)

@@ -83,6 +83,7 @@ def test_audit(raw):
     assert cleaning_audit(raw, AS_OF).first().asDict() == {
         "rows_in": 13,
         "rows_valid": 6,
+        "no_id": 0,
         "no_title": 2,
         "no_genres": 1,
         "no_date": 2,

@@ -45,7 +45,7 @@ def build(spark, bronze, silver, **more):
 def test_silver(spark, bronze, tmp_path, rows):
     report = build(spark, bronze, tmp_path / "silver", film_files=2, pair_files=3)
     assert report == {
-        "genres": 5, "rows_in": 14, "rows_valid": 6, "no_title": 3, "no_genres": 2, "no_date": 3,
+        "genres": 5, "rows_in": 14, "rows_valid": 6, "no_id": 1, "no_title": 3, "no_genres": 2, "no_date": 3,
         "bad_date": 1, "future_date": 1, "corrupt": 1, "films": 5, "film_genres": 5,
         "rows_removed": 9,
     }
@@ -92,6 +92,38 @@ def test_no_valid_film_leaves_silver_alone(spark, bronze, tmp_path):
     assert pipeline.read_silver(spark, str(tmp_path / "silver")).film_genres.count() == 5
 
 
+def test_fewer_genres_without_a_film_leave_all_three_tables(spark, bronze, tmp_path):
+    build(spark, bronze, tmp_path / "silver")
+    (bronze / "genres.json").write_text(json.dumps([{"id": "28", "genero": "Ação"}]), "utf-8")
+    build(spark, bronze, tmp_path / "silver", pattern="*.none")
+    silver = pipeline.read_silver(spark, str(tmp_path / "silver"))
+    assert silver.genres.count() == 5
+    assert {r["violations"] for r in contracts.contract_report(silver).collect()} == {0}
+    build(spark, bronze, tmp_path / "silver")
+    silver = pipeline.read_silver(spark, str(tmp_path / "silver"))
+    assert silver.genres.count() == 1
+    assert {r["violations"] for r in contracts.contract_report(silver).collect()} == {0}
+    assert sorted(p.name for p in (tmp_path / "silver").iterdir()) == ["film_genres", "films", "genres"]
+
+
+def test_a_failing_build_leaves_all_three_tables(spark, bronze, tmp_path):
+    build(spark, bronze, tmp_path / "silver")
+    (bronze / "genres.json").write_text('[{"id": null, "genero": "x"}]', "utf-8")
+    with pytest.raises(Exception, match="NULL in column id"):
+        build(spark, bronze, tmp_path / "silver")
+    silver = pipeline.read_silver(spark, str(tmp_path / "silver"))
+    assert (silver.films.count(), silver.genres.count(), silver.film_genres.count()) == (5, 5, 5)
+
+
+def test_records_without_an_id_are_no_films(spark, bronze, tmp_path):
+    edges = [(None, "X", "en", "1999-03-31", [28], 1.5, 8.0, 10), (None, "Y", "en", "1999-03-31", [28], 1.5, 8.0, 10)]
+    (bronze / "films" / "c.jsonl").write_text("\n".join(map(film_json, edges)), "utf-8")
+    report = build(spark, bronze, tmp_path / "silver")
+    assert (report["no_id"], report["films"]) == (3, 5)
+    silver = pipeline.read_silver(spark, str(tmp_path / "silver"))
+    assert {r["violations"] for r in contracts.contract_report(silver).collect()} == {0}
+
+
 def test_gold(spark, bronze, tmp_path):
     build(spark, bronze, tmp_path / "silver")
     status = pipeline.build_gold(spark, str(tmp_path / "silver"), str(tmp_path / "gold"), min_votes=0)

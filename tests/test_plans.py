@@ -51,13 +51,22 @@ def test_pairs_of_unique_ids_need_no_shuffle(spark, plan):
     assert "Exchange" not in plan(film_genre_pairs(records))
 
 
-def test_top_limits_each_task(spark, plan):
+def test_top_limits_each_task(spark, plan, setting):
     events = star.table(spark, SF, "events")
-    text = plan(top_with_ties(events, ["event_type"], "value", 3, groups=10))
-    assert "row_number(), 3, Partial" in text
-    assert "BroadcastHashJoin" in text
-    # only the few best values are shuffled, never the rows
-    assert text.count("Exchange hashpartitioning") == 1
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(top_with_ties(events, ["event_type"], "value", 3))
+    # rows travel only after a task has kept its best of each group and part
+    assert text.count("rank(value#") >= 2 and "3, Partial" in text
+    assert "hashpartitioning(event_type" in text
+    for part in text.split("Scan parquet")[:-1]:
+        above = part[part.rindex("Exchange") :] if "Exchange" in part else part
+        assert "Partial" in above
+
+
+def test_a_large_top_deals_a_group_over_parts(spark, plan):
+    events = star.table(spark, SF, "events")
+    text = plan(top_with_ties(events, ["event_type"], "value", 2000))
+    assert "hashpartitioning(event_type" in text and "_part" in text
 
 
 def test_yearly_top_uses_the_group_limit(spark, plan):
@@ -73,12 +82,18 @@ def test_genre_text_reuses_the_partitioning_by_film(spark, plan, setting):
 
 
 def test_extracts_are_settled_on_two_columns(spark, plan):
-    text = plan(union_of_extracts(star.catalogue(spark, SF)))
+    text = plan(union_of_extracts(star.catalogue(spark, SF), pages=2))
     assert text.count("TakeOrderedAndProject") == 13
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_whole_extracts_take_one_scan(spark, plan):
+    text = plan(union_of_extracts(star.catalogue(spark, SF)))
+    assert text.count("Scan parquet") <= 2
+    assert "TakeOrdered" not in text and "Exchange" not in text
+
+
 @pytest.mark.parametrize("name", ["rating_pattern", "top_films_by_genre", "genres_of_title"])
 def test_no_cross_joins_and_no_python(spark, plan, name):
     from filmlake.plans.queries import QUERIES

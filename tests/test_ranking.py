@@ -71,21 +71,22 @@ def brute_top(data, k):
         max_size=25,
     ),
     k=st.integers(1, 4),
-    groups=st.one_of(st.none(), st.just(3)),
 )
-def test_top_with_ties_is_the_rank_window(spark, rows, data, k, groups):
+def test_top_with_ties_is_the_rank_window(spark, rows, data, k):
     df = spark.createDataFrame(data, "g string, v double").repartition(3)
     expected = brute_top(data, k)
-    assert rows(ranking.top_with_ties(df, ["g"], "v", k, groups=groups)) == expected
+    assert rows(ranking.top_with_ties(df, ["g"], "v", k)) == expected
     assert rows(ranking.ranked_top(df, ["g"], "v", k)) == expected
 
 
-def test_a_third_of_all_rows_tied_in_one_group(spark):
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_a_third_of_all_rows_tied_in_one_group(spark, setting, threshold):
+    setting("spark.sql.autoBroadcastJoinThreshold", threshold)
     df = spark.range(0, 90_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 50)).alias("g"),
         F.when(F.col("id") % 3 == 0, 10.0).otherwise((F.col("id") % 997).cast("double")).alias("v"),
     )
-    got = ranking.top_with_ties(df, ["g"], "v", 3, groups=51)
+    got = ranking.top_with_ties(df, ["g"], "v", 3)
     assert got.filter("g = 'hot'").count() == 30_000
     assert got.exceptAll(ranking.ranked_top(df, ["g"], "v", 3)).count() == 0
     assert got.count() == ranking.ranked_top(df, ["g"], "v", 3).count()
@@ -142,6 +143,16 @@ def test_nulls_come_last_either_way(spark):
         assert [r["id"] for r in ranking.sorted_page(df, sort_by).collect()] == order
 
 
+def test_whole_extracts_hold_every_row(catalogue, rows):
+    union = ranking.union_of_extracts(catalogue)
+    assert union.count() == 13 * 100
+    assert rows(union.filter("extract = 'title.asc'").drop("extract")) == rows(catalogue)
+    with pytest.raises(ValueError, match="unknown sort key"):
+        ranking.union_of_extracts(catalogue, ["budget.desc"])
+    with pytest.raises(ValueError, match="start with the first"):
+        ranking.sorted_page(catalogue, "title.asc", first_page=2)
+
+
 def test_union_of_extracts_holds_each_extract(catalogue, rows):
     union = ranking.union_of_extracts(catalogue, pages=1)
     assert union.count() == 13 * 20

@@ -95,10 +95,20 @@ def test_json_array_is_one_document(spark, tmp_path, rows):
     assert rows(read_genres(spark, path)) == [(28, "Ação"), (5, None), (9, "b")]
 
 
-def test_json_array_refuses_a_large_table(spark, tmp_path):
-    with pytest.raises(ValueError, match="over 10 rows"):
-        write_json_array(spark.range(11), str(tmp_path / "out"), max_rows=10)
-    assert not (tmp_path / "out").exists()
+def test_a_large_table_is_many_json_documents(spark, tmp_path, rows):
+    path = str(tmp_path / "out")
+    same = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    df = spark.range(3000).select(F.when(same == "hot", "7").otherwise(same).alias("id"), F.lit("g").alias("genero"))
+    write_json_array(df, path, document_rows=100)
+    documents = [json.loads(p.read_text("utf-8")) for p in (tmp_path / "out").glob("part-*")]
+    assert len(documents) >= 30 and max(map(len, documents)) == 100
+    assert rows(read_genres(spark, path)) == rows(df.select(F.col("id").cast("long"), "genero"))
+
+
+def test_an_empty_table_reads_back_as_no_genres(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_json_array(spark.createDataFrame([], "id string, genero string"), path)
+    assert read_genres(spark, path).count() == 0
 
 
 def test_parquet_save_modes(spark, tmp_path):
