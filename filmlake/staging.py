@@ -44,8 +44,8 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 def replace(spark: SparkSession, new: str, target: str, tables: Sequence[str]) -> None:
     """Put the tables below ``new``, all of them written, in the place of those below ``target``.
 
-    Only names change in this step, so a failure before it leaves all old tables,
-    and the old ones are deleted after the last new one has its name.
+    Only names change in this step, so a failure before it leaves all old tables; one
+    within it is taken back. The old ones are deleted after the last new one has its name.
     """
     old = f"{new}/_old"
     _, files = _files(spark, target)
@@ -53,10 +53,18 @@ def replace(spark: SparkSession, new: str, target: str, tables: Sequence[str]) -
         files.mkdirs(_files(spark, folder)[0])
     moves = [(f"{target}/{name}", f"{old}/{name}") for name in tables]
     moves += [(f"{new}/{name}", f"{target}/{name}") for name in tables]
-    for source, goal in moves:
-        path = _files(spark, source)[0]
-        if files.exists(path) and not files.rename(path, _files(spark, goal)[0]):
-            raise OSError(f"{source} could not be moved to {goal}")
+    done = []
+    try:
+        for source, goal in moves:
+            path = _files(spark, source)[0]
+            if files.exists(path):
+                if not files.rename(path, _files(spark, goal)[0]):
+                    raise OSError(f"{source} could not be moved to {goal}")
+                done.append((source, goal))
+    except Exception:
+        for source, goal in reversed(done):
+            files.rename(_files(spark, goal)[0], _files(spark, source)[0])
+        raise
     discard(spark, new)
     for name in tables:
         spark.catalog.refreshByPath(f"{target}/{name}")
