@@ -3,10 +3,13 @@
 Words are runs of letters and digits, lower-cased; a shingle is five of them, and its weight is
 how often it occurs. A document leaks an item if one of its windows of as many words as the
 item has is similar to it: the weighted Jaccard similarity of their shingles is at least
-``PERCENT`` hundredths.
+``PERCENT`` hundredths. Windows may reach beyond the text and then are what lies in it, so an
+item that the text cuts off, or one longer than the text, is compared without padding.
 
 1. A window that similar shares at least a known number of shingles with the item. Positions of
-   item shingles in the documents so tell, without loss, which windows can be similar at all.
+   item shingles in the documents so tell, without loss, which windows can be similar at all. Of
+   the windows cut short, only those that are cut at a shingle of the item need be looked at: any
+   other is less similar than a shorter one.
 2. These windows and the items get 64-bit SimHash fingerprints.
 3. Multi-index: a fingerprint is cut into 8 blocks of 8 bits. Two that differ in at most
    ``RADIUS`` = 23 bits differ in at most 2 in some block, so joining the windows' blocks with
@@ -74,19 +77,19 @@ def counted(hashes: str) -> list[Column]:
 
 
 def majority() -> Column:
-    """SimHash: a bit is set if it is in more than half of the ``size`` shingles."""
+    """SimHash: a bit is set if it is in more than half of the ``own_size`` shingles."""
     out = F.lit(0).cast("long")
     for i in range(16):
         for lane in range(4):
             count = F.shiftrightunsigned(f"lanes{i}", 16 * lane).bitwiseAND(F.lit(0xFFFF))
             bit = F.shiftleft(F.lit(1).cast("long"), i + 16 * lane)
-            out = out.bitwiseOR(F.when(2 * count > F.col("size"), bit).otherwise(F.lit(0).cast("long")))
+            out = out.bitwiseOR(F.when(2 * count > F.col("own_size"), bit).otherwise(F.lit(0).cast("long")))
     return out.alias("print")
 
 
 def fingerprinted(rows: DataFrame, *keys: str) -> DataFrame:
-    """``keys``, ``size`` and ``print`` of rows with an array of shingle hashes ``own``."""
-    return rows.select(*keys, F.size("own").alias("size"), *counted("own")).select(*keys, "size", majority())
+    """``keys`` and ``print`` of rows with an array of shingle hashes ``own``."""
+    return rows.select(*keys, F.size("own").alias("own_size"), *counted("own")).select(*keys, majority())
 
 
 def blocks(rows: DataFrame, *keys: str, near: bool) -> DataFrame:
@@ -121,34 +124,57 @@ def find_leaks(
         .dropDuplicates(["item_id", "iid"])
         .withColumn("item", F.monotonically_increasing_id())
         .withColumn("size", F.size("own"))
-        # of two sets of ``size`` shingles, so many are common at least
-        .withColumn("need", F.ceil(2 * percent * F.col("size") / F.lit(100 + percent)).cast("int")),
+        # so many shingles a window of as many has in common with the item, and a shorter one, at least
+        .withColumn("need", F.ceil(2 * percent * F.col("size") / F.lit(100 + percent)).cast("int"))
+        .withColumn("least", F.ceil(percent * F.col("size") / F.lit(100)).cast("int")),
         "items",
     )
     source = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text).alias("tid"), F.col(text).alias("text"))
     asked = scratch.keep(
-        items.select("item", "size", "need", F.explode(F.array_distinct("own")).alias("shingle")), "asked"
+        items.select("item", "size", "need", "least", F.explode(F.array_distinct("own")).alias("shingle")), "asked"
     )
-    hits = source.select("doc_id", "tid", F.posexplode(shingles(words("text"))).alias("at", "shingle")).join(
-        asked, "shingle"
+    shingled = source.select("doc_id", "tid", shingles(words("text")).alias("all"))
+    hits = (
+        shingled.select("doc_id", "tid", F.size("all").alias("total"), "all")
+        .select("doc_id", "tid", "total", F.posexplode("all").alias("at", "shingle"))
+        .join(asked, "shingle")
     )
-    counts = hits.groupBy("doc_id", "tid", "item", "size", "need").agg(F.array_sort(F.array_distinct(F.collect_list("at"))).alias("at"))
-    reached = F.transform(
-        F.sequence(F.lit(0), F.size("at") - F.col("need")),
-        lambda i: F.struct(
-            F.greatest(F.get("at", i + F.col("need") - 1) - F.col("size") + 1, F.lit(0)).alias("low"), F.get("at", i).alias("high")
+    counts = hits.groupBy("doc_id", "tid", "total", "item", "size", "need", "least").agg(
+        F.array_sort(F.array_distinct(F.collect_list("at"))).alias("at")
+    )
+    n_at, total, size = F.size("at"), F.col("total"), F.col("size")
+
+    def window(start: Column, own: Column) -> Column:
+        return F.struct(start.alias("start"), own.alias("own_size"), size.alias("size"))
+
+    def enough(common: Column, own: Column) -> Column:
+        return (100 + percent) * common >= percent * (own + size)
+
+    reached = F.when(
+        n_at >= F.col("need"),
+        F.transform(
+            F.sequence(F.lit(0), n_at - F.col("need")),
+            lambda i: F.struct(
+                F.greatest(F.get("at", i + F.col("need") - 1) - size + 1, F.lit(0)).alias("low"),
+                F.least(F.get("at", i), total - size).alias("high"),
+            ),
         ),
     )
-    spans = (
-        counts.filter(F.size("at") >= F.col("need"))
-        .select("doc_id", "tid", "size", F.filter(reached, lambda x: x["low"] <= x["high"]).alias("spans"))
-        .filter(F.size("spans") > 0)
+    spans = F.filter(reached, lambda x: x["low"] <= x["high"])
+    whole = F.flatten(F.transform(spans, lambda x: F.transform(F.sequence(x["low"], x["high"]), lambda i: window(i, size))))
+    # windows cut short by the text's end, and by its beginning
+    ends = F.transform(
+        F.filter("at", lambda x, i: (x > total - size) & enough(n_at - i, total - x)), lambda x: window(x, total - x)
+    )
+    begins = F.transform(
+        F.filter("at", lambda x, i: (x + 1 < size) & enough(i + 1, x + 1)), lambda x: window(F.lit(0), x + 1)
     )
-    starts = F.array_distinct(F.flatten(F.transform("spans", lambda x: F.sequence(x["low"], x["high"]))))
+    none = F.array().cast("array<struct<start:int,own_size:int,size:int>>")
     wanted = scratch.keep(
-        spans.select("doc_id", "tid", F.explode(starts).alias("start"), "size")
+        counts.filter(n_at >= F.col("least"))
+        .select("doc_id", "tid", F.explode(F.array_distinct(F.concat(F.coalesce(whole, none), ends, begins))).alias("w"))
         .groupBy("doc_id", "tid")
-        .agg(F.collect_set(F.struct("start", "size")).alias("windows")),
+        .agg(F.collect_set("w").alias("windows")),
         "wanted",
     )
     texts = source.join(
@@ -157,15 +183,14 @@ def find_leaks(
     ).select("doc_id", "tid", shingles(words("text")).alias("all"), "windows")
     windows = scratch.keep(
         texts.select("doc_id", "tid", "all", F.explode("windows").alias("w"))
-        .select("doc_id", "tid", "w.start", F.slice("all", F.col("w.start") + 1, F.col("w.size")).alias("own"), "w.size")
-        .filter(F.size("own") == F.col("size"))
-        .drop("size")
-        .dropDuplicates(["doc_id", "tid", "start", "own"])
+        .select("doc_id", "tid", "w.start", F.slice("all", F.col("w.start") + 1, F.col("w.own_size")).alias("own"), "w.size")
+        .dropDuplicates(["doc_id", "tid", "start", "own", "size"])
         .withColumn("window", F.monotonically_increasing_id()),
         "windows",
     )
-    seen = scratch.keep(fingerprinted(windows, "window"), "seen")
-    known = scratch.keep(fingerprinted(items, "item"), "known")
+    # a window is compared with items of the size for which it was cut
+    seen = scratch.keep(fingerprinted(windows, "window", "size"), "seen")
+    known = scratch.keep(fingerprinted(items, "item", "size"), "known")
     other = blocks(known, "item", near=True).withColumnRenamed("print", "other")
     pairs = scratch.keep(
         blocks(seen, "window", near=False)
@@ -179,17 +204,20 @@ def find_leaks(
     def weights(rows: DataFrame, name: str, weight: str) -> DataFrame:
         return rows.select(name, F.explode("own").alias("shingle")).groupBy(name, "shingle").agg(F.count(F.lit(1)).alias(weight))
 
+    both = F.col("own_size") + F.col("size") - F.col("common")
     common = (
         pairs.join(weights(windows, "window", "a"), "window")
         .join(scratch.keep(weights(items, "item", "b"), "weights"), ["item", "shingle"])
         .groupBy("window", "item", "size")
         .agg(F.sum(F.least("a", "b")).alias("common"))
-        .filter(100 * F.col("common") >= percent * (2 * F.col("size") - F.col("common")))
+        .filter(100 * F.col("common") >= percent * F.col("size"))
+        .join(windows.select("window", "doc_id", "tid", "start", F.size("own").alias("own_size")), "window")
+        .filter(100 * F.col("common") >= percent * both)
     )
-    best = F.max(F.struct("common", (-F.col("start")).alias("start"))).alias("best")
+    similarity = (F.col("common") / both).alias("similarity")
+    best = F.max(F.struct(similarity, (-F.col("start")).alias("start"), "own_size")).alias("best")
     return (
-        common.join(windows.select("window", "doc_id", "tid", "start"), "window")
-        .groupBy("doc_id", "tid", "item", "size")
+        common.groupBy("doc_id", "tid", "item")
         .agg(best)
         .join(items.select("item", "item_id"), "item")
         .select(
@@ -197,7 +225,7 @@ def find_leaks(
             "tid",
             "item_id",
             (-F.col("best.start")).alias("start"),
-            (F.col("size") + SHINGLE - 1).alias("n_words"),
-            (F.col("best.common") / (2 * F.col("size") - F.col("best.common"))).alias("similarity"),
+            (F.col("best.own_size") + SHINGLE - 1).alias("n_words"),
+            F.col("best.similarity").alias("similarity"),
         )
     )

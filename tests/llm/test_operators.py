@@ -181,6 +181,20 @@ def test_leaks_equal_brute_force(spark):
     assert leaks.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_cut_by_the_text(spark):
+    rng = random.Random(8)
+    item = [f"w{i}" for i in range(50)]
+    other = [rng.choices([f"o{i}" for i in range(99)], k=40) for _ in range(2)]
+    texts = [item[:49], item[5:], item[4:46], other[0] + item[:42], item[8:] + other[1], other[0] + item[:40], item[:30]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.start, r.n_words, r.similarity) for r in leaks.find_leaks(docs, bench).collect()}
+    want = {0: (0, 49, 45 / 46), 1: (0, 45, 41 / 46), 2: (0, 42, 38 / 46), 3: (40, 42, 38 / 46), 4: (0, 42, 38 / 46)}
+    assert got.keys() == want.keys()
+    for key, row in want.items():
+        assert got[key] == pytest.approx(row)
+
+
 # sharding
 
 
