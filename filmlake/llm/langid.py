@@ -6,8 +6,8 @@ all of them are the languages that contain it, so one look-up asks every filter
 The share of a text's n-grams that a language contains, less the share its filter would claim
 by false positives, decides; the score is the best share over the sum of all shares.
 
-An n-gram is 3 or 4 bytes of the text with A to Z lower-cased and everything but letters taken
-as one blank. A language contains those that are frequent in its training texts and whose share
+An n-gram is 3 or 4 bytes of the text between two blanks, with A to Z lower-cased and everything
+but letters taken as one blank; none reaches into another text. A language contains those that are frequent in its training texts and whose share
 there is at least ``RIVAL`` times their share in any other language. Filters are fitted on about
 ``TRAIN_TEXTS`` texts of each language, chosen by a hash of the text, so their size doesn't grow.
 
@@ -19,7 +19,7 @@ training texts. Without training texts all is ``und``. Equal texts get equal ans
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,22 +44,34 @@ _KEEP[97:123] = np.arange(97, 123)
 _KEEP[128:] = np.arange(128, 256)
 
 
+def _padded(texts: Iterable[str | None]) -> list[bytes]:
+    return [b" " + encoded(x, lower=True) + b" " for x in texts]
+
+
 def _grams(raw: bytes, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each size the hashes of the n-grams of some joined texts, and how many start before each text."""
+    """For each size the hashes of the n-grams of some joined padded texts, and where each text's begin.
+
+    The second array has one more entry, the number of n-grams.
+    """
     codes = _KEEP[np.frombuffer(raw, dtype=np.uint8)]
     blank = codes == 32
     keep = np.ones(len(codes), dtype=bool)
     keep[1:] = ~(blank[1:] & blank[:-1])
-    keep[starts] = True  # each text keeps a first byte, if only the blank between two
+    keep[starts] = True  # each text keeps its first blank
     at = np.flatnonzero(keep)
     first = np.append(np.searchsorted(at, starts), len(at))
+    lengths, ends = np.diff(first), first[1:]
     codes = codes[at].astype(np.uint64)
     for size in SIZES:
         n = max(0, len(codes) - size + 1)
         packed = np.full(n, size, dtype=np.uint64)
         for i in range(size):
             packed = (packed << np.uint64(8)) | codes[i : i + n]
-        yield mix(packed), np.minimum(first, n)
+        inside = np.ones(n, dtype=bool)
+        for back in range(1, size):
+            beyond = ends[lengths >= back] - back
+            inside[beyond[beyond < n]] = False
+        yield mix(packed[inside]), np.append(0, np.cumsum(np.maximum(lengths - size + 1, 0)))
 
 
 def _slots(grams: np.ndarray) -> list[np.ndarray]:
@@ -79,10 +91,8 @@ class Filters:
     def shares(self, texts: list[str | None]) -> np.ndarray:
         """Corrected share of each text's n-grams in each language."""
         out = np.zeros((len(texts), len(self.languages)))
-        for first, last, raw, starts in buffers([encoded(x, lower=True) for x in texts]):
+        for first, last, raw, starts in buffers(_padded(texts)):
             total = np.zeros(last - first)
-            if not raw:
-                continue
             for grams, bounds in _grams(raw, starts):
                 total += np.diff(bounds)
                 slots = _slots(grams)
@@ -113,11 +123,10 @@ def fit(train: DataFrame, train_texts: int = TRAIN_TEXTS) -> Filters:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, own in batch.groupby("lang"):
-                for _, _, raw, starts in buffers([encoded(x, lower=True) for x in own["text"]]):
-                    if raw:
-                        for size, (grams, _) in enumerate(_grams(raw, starts)):
-                            gram, n = np.unique(grams, return_counts=True)
-                            yield pd.DataFrame({"lang": lang, "size": size, "gram": gram.view(np.int64), "n": n})
+                for _, _, raw, starts in buffers(_padded(own["text"])):
+                    for size, (grams, _) in enumerate(_grams(raw, starts)):
+                        gram, n = np.unique(grams, return_counts=True)
+                        yield pd.DataFrame({"lang": lang, "size": size, "gram": gram.view(np.int64), "n": n})
 
     seen = (
         train.filter(place < share[F.col("lang")])

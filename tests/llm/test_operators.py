@@ -41,6 +41,23 @@ def test_language_of_odd_rows(spark):
     assert {r.lang_pred for r in langid.predict(docs, langid.fit(empty)).collect()} == {"und"}
 
 
+def test_language_does_not_depend_on_neighbours():
+    texts = ["Re.", "De.", None, "", "A", "Thtion. of\nit", "12", "é"]
+    table = np.random.default_rng(4).integers(0, 256, size=(1 << langid.SLOT_BITS, 1), dtype=np.uint8)
+    filters = langid.Filters(list("abcdefgh"), table)
+    alone = np.concatenate([filters.shares([x]) for x in texts])
+    assert filters.shares(texts) == pytest.approx(alone)
+    assert filters.shares(texts[::-1])[::-1] == pytest.approx(alone)
+    # what is learned of texts is learned of each alone
+    for size in range(len(langid.SIZES)):
+        each = [list(langid._grams(raw, np.array([0])))[size][0] for raw in langid._padded(texts)]
+        raws = langid._padded(texts)
+        starts = np.append(0, np.cumsum([len(x) + 1 for x in raws[:-1]]))
+        grams, bounds = list(langid._grams(b"\n".join(raws), starts))[size]
+        assert grams.tolist() == np.concatenate(each).tolist()
+        assert np.diff(bounds).tolist() == [len(x) for x in each]
+
+
 # packing
 
 
