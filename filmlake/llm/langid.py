@@ -9,7 +9,8 @@ by false positives, decides; the score is the best share over the sum of all sha
 An n-gram is 3 or 4 bytes of the text between two blanks, with A to Z lower-cased and everything
 but letters taken as one blank; none reaches into another text. A language contains those that are frequent in its training texts and whose share
 there is at least ``RIVAL`` times their share in any other language. Filters are fitted on about
-``TRAIN_TEXTS`` texts of each language, chosen by a hash of the text, so their size doesn't grow.
+``TRAIN_TEXTS`` distinct texts of each language, chosen by a hash of the text, or on all if there
+are no more, so their size doesn't grow. However often a text is copied, it is learned from once.
 
 A NULL text, or one without a letter, is ``und`` with score 0. A text of none but unknown n-grams
 gets the language with the most training texts, score 0; ties go to the language with more
@@ -111,14 +112,17 @@ class Filters:
 def fit(train: DataFrame, train_texts: int = TRAIN_TEXTS) -> Filters:
     """Filters from ``text`` and ``lang``; NULLs in either teach nothing."""
     train = train.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    counts = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per language
+    train = train.withColumn("tid", F.xxhash64("text"))
+    distinct = train.groupBy("lang", "tid").agg(F.count(F.lit(1)).alias("n"))
+    # a row per language
+    counts = distinct.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
     counts.sort(key=lambda row: (-row.n, row.lang))
     languages = [row.lang for row in counts]
-    share = F.create_map(*(F.lit(x) for row in counts for x in (row.lang, min(1.0, train_texts / row.n)))) if counts else None
+    share = F.create_map(*(F.lit(x) for row in counts for x in (row.lang, min(1.0, train_texts / row.texts)))) if counts else None
     table = np.zeros((1 << SLOT_BITS, (len(languages) + 7) // 8 or 1), dtype=np.uint8)
     if not counts:
         return Filters(languages, table)
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    place = F.pmod("tid", F.lit(1 << 30)) / float(1 << 30)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -130,6 +134,8 @@ def fit(train: DataFrame, train_texts: int = TRAIN_TEXTS) -> Filters:
 
     seen = (
         train.filter(place < share[F.col("lang")])
+        .dropDuplicates(["lang", "tid"])
+        .select("text", "lang")
         .mapInPandas(run, "lang string, size int, gram long, n long")
         .groupBy("lang", "size", "gram")
         .agg(F.sum("n").alias("n"))

@@ -58,6 +58,17 @@ def test_language_does_not_depend_on_neighbours():
         assert np.diff(bounds).tolist() == [len(x) for x in each]
 
 
+def test_language_of_copies_keeps_training_texts(spark):
+    rng = random.Random(9)
+    kinds = {"aa": ["abe", "eba", "bea", "abba"], "bb": ["xyz", "zyx", "yzz", "zxyz"]}
+    rows = [(" ".join(rng.choices(kinds["aa"], k=60)), "aa") for _ in range(40)]
+    rows += [(text, "bb") for text in [" ".join(rng.choices(kinds["bb"], k=60)) for _ in range(4)] for _ in range(500)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    filters = langid.fit(docs, train_texts=10)
+    got = langid.predict(docs.distinct(), filters).collect()
+    assert Counter(r.lang_pred for r in got) == Counter(r.lang for r in docs.distinct().collect())
+
+
 # packing
 
 
