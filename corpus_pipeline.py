@@ -24,11 +24,14 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter go, and those in none of the languages that the labels know."""
+    """Texts without a letter go, and those in none of the languages that the labels know.
+
+    A language learned from too few n-grams to tell what is not in it rejects nothing.
+    """
     docs = _documents(docs)
     filters = langid.fit(docs)
     named = langid.predict(docs.withColumn("_copy", F.col("text")), filters, text="_copy")
-    keep = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("known") >= KNOWN)
+    keep = (F.col("lang_pred") != langid.UNKNOWN) & ((F.col("known") >= KNOWN) | F.col("lang_pred").isin(filters.few))
     # without any labelled text nothing is known to reject by, but for texts without letters
     return _documents(named.filter(keep if filters.languages else F.col("text").rlike(r"\p{L}")))
 

@@ -7,8 +7,9 @@ The share of a text's n-grams that a language contains, less the share its filte
 by false positives, decides; the score is the best share over the sum of all shares.
 
 An n-gram is 3 or 4 bytes of the text between two blanks, with A to Z lower-cased and everything
-but letters taken as one blank; none reaches into another text. A language contains those that are frequent in its training texts and whose share
-there is at least ``RIVAL`` times their share in any other language. Filters are fitted on about
+but letters taken as one blank; none reaches into another text. A language contains those that are frequent in its training texts, or all of them where
+there are few n-grams to learn from, and whose share there is at least ``RIVAL`` times their share
+in any other language. Shares in less than ``FEW`` n-grams count as shares of so many for the others. Filters are fitted on about
 ``TRAIN_TEXTS`` distinct texts of each language, chosen by a hash of the text, or on all if there
 are no more, so their size doesn't grow. However often a text is copied, it is learned from once.
 
@@ -20,7 +21,7 @@ training texts. Without training texts all is ``und``. Equal texts get equal ans
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,8 @@ SIZES = (3, 4)
 GRAMS = 30_000
 SEEN = 5
 RIVAL = 0.25
+# n-grams of training texts, of each size, that a language is judged by; times seen rise by one with each so many
+FEW = 10_000
 SLOT_BITS = 20
 HASHES = 3
 
@@ -82,10 +85,13 @@ def _slots(grams: np.ndarray) -> list[np.ndarray]:
 
 
 class Filters:
-    """The slot table, a bit per language, and each filter's rate of false positives."""
+    """The slot table, a bit per language, and each filter's rate of false positives.
 
-    def __init__(self, languages: list[str], table: np.ndarray) -> None:
-        self.languages, self.table = languages, table
+    ``few`` are languages with fewer than ``FEW`` n-grams to learn from.
+    """
+
+    def __init__(self, languages: list[str], table: np.ndarray, few: Sequence[str] = ()) -> None:
+        self.languages, self.table, self.few = languages, table, list(few)
         filled = [((table[:, i // 8] >> (i % 8)) & 1).mean() for i in range(len(languages))]
         self.false = np.array(filled) ** HASHES
 
@@ -113,12 +119,19 @@ def fit(train: DataFrame, train_texts: int = TRAIN_TEXTS) -> Filters:
     """Filters from ``text`` and ``lang``; NULLs in either teach nothing."""
     train = train.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     train = train.withColumn("tid", F.xxhash64("text"))
-    distinct = train.groupBy("lang", "tid").agg(F.count(F.lit(1)).alias("n"))
+    distinct = train.groupBy("lang", "tid").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("bytes"))
     # a row per language
-    counts = distinct.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
+    counts = (
+        distinct.groupBy("lang")
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"), F.sum("bytes").alias("bytes"))
+        .collect()
+    )
     counts.sort(key=lambda row: (-row.n, row.lang))
     languages = [row.lang for row in counts]
     share = F.create_map(*(F.lit(x) for row in counts for x in (row.lang, min(1.0, train_texts / row.texts)))) if counts else None
+    # a text has about as many n-grams of a size as bytes
+    seen_in = {row.lang: min(SEEN, 1 + int(min(1.0, train_texts / row.texts) * row.bytes) // FEW) for row in counts}
+    times = F.create_map(*(F.lit(x) for pair in seen_in.items() for x in pair)) if counts else None
     table = np.zeros((1 << SLOT_BITS, (len(languages) + 7) // 8 or 1), dtype=np.uint8)
     if not counts:
         return Filters(languages, table)
@@ -140,15 +153,17 @@ def fit(train: DataFrame, train_texts: int = TRAIN_TEXTS) -> Filters:
         .groupBy("lang", "size", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    # sampled texts are bounded, and so are their n-grams
-    grams = seen.filter(F.col("n") >= SEEN).toPandas()
-    grams["share"] = grams["n"] / grams.groupby(["lang", "size"])["n"].transform("sum")
-    own = grams[grams["share"] >= RIVAL * grams.groupby("gram")["share"].transform("max")]
+    # sampled texts are bounded, and so are their n-grams; the rarer ones of larger languages go in Spark
+    grams = seen.filter(F.col("n") >= times[F.col("lang")]).toPandas()
+    among = grams.groupby(["lang", "size"])["n"].transform("sum")
+    grams["share"], grams["rival"] = grams["n"] / among, grams["n"] / np.maximum(among, FEW)
+    own = grams[grams["share"] >= RIVAL * grams.groupby("gram")["rival"].transform("max")]
     own = own.sort_values(["lang", "n", "gram"], ascending=[True, False, True]).groupby("lang").head(GRAMS)
     for i, lang in enumerate(languages):
         for slot in _slots(own.loc[own["lang"] == lang, "gram"].to_numpy().view(np.uint64)):
             table[slot, i // 8] |= np.uint8(1 << (i % 8))
-    return Filters(languages, table)
+    enough = grams.groupby(["lang", "size"])["n"].sum().unstack(fill_value=0).min(axis=1).reindex(languages, fill_value=0)
+    return Filters(languages, table, [lang for lang in languages if enough[lang] < FEW])
 
 
 def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:

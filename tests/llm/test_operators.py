@@ -69,6 +69,21 @@ def test_language_of_copies_keeps_training_texts(spark):
     assert Counter(r.lang_pred for r in got) == Counter(r.lang for r in docs.distinct().collect())
 
 
+def test_few_short_texts_of_a_language_stay(spark):
+    import corpus_pipeline
+
+    rare = ["zq vuk xojib", "wyrk plonz"]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id >= 0").select(*corpus_pipeline.COLUMNS)
+    rows = [(-1 - i, t, "qx", "s", len(t)) for i, t in enumerate(rare)] + [(-9, "kcxq jjwv pqgh", None, "s", 14)]
+    docs = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    filters = langid.fit(docs)
+    assert filters.few == ["qx"]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs.filter("lang = 'qx'"), filters).collect()}
+    assert got == {-1: "qx", -2: "qx"}
+    kept = corpus_pipeline.language(spark, docs, SMALL).filter("doc_id < 0").collect()
+    assert sorted(r.doc_id for r in kept) == [-2, -1]
+
+
 # packing
 
 
