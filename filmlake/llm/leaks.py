@@ -10,12 +10,14 @@ item that the text cuts off, or one longer than the text, is compared without pa
    item shingles in the documents so tell, without loss, which windows can be similar at all. Of
    the windows cut short, only those that are cut at a shingle of the item need be looked at: any
    other is less similar than a shorter one.
-2. These windows and the items get 64-bit SimHash fingerprints.
+2. These windows and the items get 64-bit SimHash fingerprints. Repeats of a shingle count as
+   shingles of their own, so that the angle depends on the weighted similarity alone.
 3. Multi-index: a fingerprint is cut into 8 blocks of 8 bits. Two that differ in at most
    ``RADIUS`` = 23 bits differ in at most 2 in some block, so joining the windows' blocks with
    all values within 2 bits of the items' blocks finds every pair within the radius. Fingerprints
    of sets alike to 0.8 differ in 10 bits, give or take 3, so fewer than one in 100,000 windows
-   is lost, and a leak has several windows.
+   is lost, and a leak has several windows. Of windows cut short it is up to one in 30,000, and
+   one in 2,900 where four shingles are left of an item of five.
 4. The exact similarity decides.
 
 Only JVM functions are used. NULL and empty texts have no words. Items of fewer than five words have
@@ -87,9 +89,35 @@ def majority() -> Column:
     return out.alias("print")
 
 
+def numbered(hashes: str) -> Column:
+    """Hashes of an array with repeats told apart by their number.
+
+    The similarity of two such arrays as sets is the weighted one of the hashes.
+    """
+
+    def told_apart(known: Column, begins: Column) -> Column:
+        return F.transform(
+            begins,
+            lambda at, j: F.transform(
+                F.sequence(F.lit(0), F.coalesce(F.get(begins, j + 1), F.size(known)) - at - 1),
+                lambda k: F.when(k == 0, F.get(known, at)).otherwise(F.xxhash64(F.get(known, at), k)),
+            ),
+        )
+
+    def runs(known: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(known) - 1)
+        begins = F.filter(at, lambda i: (i == 0) | (F.get(known, i) != F.get(known, i - 1)))
+        return F.flatten(F.get(F.transform(F.array(begins), lambda x: told_apart(known, x)), F.lit(0)))
+
+    repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
+    apart = F.get(F.transform(F.array(F.sort_array(hashes)), runs), F.lit(0))
+    return F.when(repeats, apart).otherwise(F.col(hashes))
+
+
 def fingerprinted(rows: DataFrame, *keys: str) -> DataFrame:
     """``keys`` and ``print`` of rows with an array of shingle hashes ``own``."""
-    return rows.select(*keys, F.size("own").alias("own_size"), *counted("own")).select(*keys, majority())
+    rows = rows.select(*keys, F.size("own").alias("own_size"), numbered("own").alias("own"))
+    return rows.select(*keys, "own_size", *counted("own")).select(*keys, majority())
 
 
 def blocks(rows: DataFrame, *keys: str, near: bool) -> DataFrame:

@@ -238,6 +238,15 @@ def test_leaks_cut_by_the_text(spark):
         assert got[key] == pytest.approx(row)
 
 
+def test_leaks_that_differ_in_one_repeated_word(spark):
+    items = [[f"i{n}w{i}" for i in range(182)] for n in range(6)]
+    texts = [["o"] * 60 + item + ["b"] * 22 + ["p"] * 60 for item in items]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t + ["a"] * 22)) for i, t in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in leaks.find_leaks(docs, bench).collect()}
+    assert got == pytest.approx({(i, i): 178 / 222 for i in range(6)})
+
+
 # sharding
 
 
