@@ -1,4 +1,4 @@
-"""Packing of tokenized documents into sequences by bulk-synchronous best fit.
+"""Packing of tokenized documents into sequences by best fit over a histogram of lengths.
 
 Pieces and gaps are held sorted by size. Pieces of one length are alike, and so are gaps of
 one size, so both are runs: a size, how many there are, and the rank of the first. Lengths are
