@@ -1,4 +1,4 @@
-"""The ten operators as queries over the test tables."""
+"""The operators as queries over the test tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmlake.llm import (
+    alignment,
     langid,
     leaks,
     near,
@@ -114,3 +115,9 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors of every hundredth."""
     return nearest.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers, for every document."""
+    return alignment.align_tokens(table(spark, folder, "documents").select("doc_id", "text"))
