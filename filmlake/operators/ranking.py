@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filmlake.operators.relate import union_all
+from filmlake.staging import new_folder, stage
 
 
 def ranked_top(
@@ -33,10 +33,11 @@ def top_with_ties(
     of the row. A row whose rank within its part is over ``k`` has no place in its
     group, so only candidates go on; up to a ``k`` of
     ``spark.sql.optimizer.windowGroupLimitThreshold`` each task finds its own
-    before it sends any. The counts of the candidates by value settle the place
-    of each value: one more than the rows above it. Places meet the candidates
-    by group, part and value, so neither a group nor equal values gather.
-    Columns must be of types that can be hashed.
+    before it sends any. Candidates are counted by group, value and part, where there
+    are any. A value's place is one more than the rows of its group above it; places meet the
+    candidates by group, value and part, so neither a group nor equal values gather, and there are
+    never more places than candidates, however many groups. The candidates are shuffled once for
+    both sides. Columns must be of types that can be hashed.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     best = F.col(order).desc_nulls_last()
@@ -45,17 +46,21 @@ def top_with_ties(
         .withColumn("_near", F.rank().over(Window.partitionBy(*by, "_part").orderBy(best)))
         .filter(F.col("_near") <= k)
     )
-    above = Window.partitionBy(*by).orderBy(best).rowsBetween(Window.unboundedPreceding, -1)
+    # peers included: the rows of the group down to and with this value
+    down_to = Window.partitionBy(*by).orderBy(best).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     places = (
-        near.groupBy(*by, order)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn(rank, (F.coalesce(F.sum("_rows").over(above), F.lit(0)) + 1).cast("int"))
+        near.groupBy(*by, order, "_part")
+        # the hash keeps all columns, so that both sides read the same shuffled candidates
+        .agg(F.count(F.lit(1)).alias("_rows"), F.max(F.xxhash64(*df.columns)).alias("_any"))
+        .filter(F.col("_any").isNotNull())
+        .withColumn("_down", F.sum("_rows").over(down_to))
+        .withColumn("_equal", F.sum("_rows").over(Window.partitionBy(*by, order)))
+        .withColumn(rank, (F.col("_down") - F.col("_equal") + 1).cast("int"))
         .filter(F.col(rank) <= k)
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
         .select(*(F.col(name).alias(f"_of_{name}") for name in (*by, order, "_part")), rank)
     )
-    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in (*by, order)))
-    return near.join(places, same & (F.col("_part") == F.col("_of__part"))).select(*df.columns, rank)
+    same = (F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in (*by, order, "_part"))
+    return near.join(places, reduce(and_, same)).select(*df.columns, rank)
 
 
 def first_rows(df: DataFrame, n: int, key: Sequence[str] = ()) -> DataFrame:
@@ -83,6 +88,8 @@ SORT_KEYS = tuple(f"{field}.{way}" for field in SORT_FIELDS for way in ("desc",
 # A collection takes every sort key but the most popular first
 EXTRACTS = tuple(key for key in SORT_KEYS if key != "popularity.desc")
 PAGE_SIZE = 20
+# rows up to which a page is taken from the best rows of each task
+SHALLOW = 10_000
 
 # the record field behind a sort field, where the names differ
 FIELD_COLUMNS = {"primary_release_date": "release_date"}
@@ -97,6 +104,48 @@ def sort_order(sort_by: str) -> Column:
     return column.desc_nulls_last() if way == "desc" else column.asc_nulls_last()
 
 
+def _ranges(df: DataFrame, sort_keys: Sequence[str], key: str) -> DataFrame:
+    """``extract``, ``position`` from 1, and ``_key`` of each row in each of the orders.
+
+    One shuffle deals all orders over ranges of (extract, order, key). Only the column that an
+    extract is sorted by counts in its rows: there is one sort column for each type and direction, and
+    the others are NULL. Ranges are written once, as a second run might cut them elsewhere; a row's position is its
+    place in its range, and the rows in the ranges of its extract before. No task holds more than a range.
+    """
+    columns: dict[tuple[str, bool], Column] = {}
+    for sort_by in sort_keys:
+        field, way = sort_by.split(".")
+        name = FIELD_COLUMNS.get(field, field)
+        kind = (df.schema[name].dataType.simpleString(), way == "desc")
+        columns[kind] = F.when(F.col("extract") == sort_by, F.col(name)).otherwise(columns.get(kind, F.lit(None)))
+    names = [f"_order{i}" for i in range(len(columns))]
+    order = [
+        F.col(name).desc_nulls_last() if falls else F.col(name).asc_nulls_last()
+        for name, (_, falls) in zip(names, columns, strict=True)
+    ]
+    tagged = df.select("*", F.explode(F.array(*map(F.lit, sort_keys))).alias("extract")).select(
+        "extract", F.col(key).alias("_key"), *(c.alias(name) for name, c in zip(names, columns.values(), strict=True))
+    )
+    by = ["extract", *order, "_key"]
+    dealt = tagged.repartitionByRange(*by).sortWithinPartitions(*by)
+    spark = df.sparkSession
+    # the upper bits of the id are the range, the lower ones the place in it
+    placed = stage(
+        dealt.select("extract", "_key", F.monotonically_increasing_id().alias("_at")),
+        f"{new_folder(spark, 'ranges')}/placed",
+    ).withColumn("_range", F.shiftrightunsigned("_at", 33))
+    before = Window.partitionBy("extract").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy("extract", "_range")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+        .select("extract", "_range", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_start"))
+    )
+    # a row for each range and extract in it
+    return placed.join(F.broadcast(starts), ["extract", "_range"]).select(
+        "extract", (F.col("_start") + F.col("_at") + 1).alias("position"), "_key"
+    )
+
+
 def sorted_page(
     df: DataFrame,
     sort_by: str,
@@ -107,16 +156,19 @@ def sorted_page(
 ) -> DataFrame:
     """``pages`` pages of the sorted table from ``first_page`` on, ties by ``key``.
 
-    Without ``pages`` it is the whole table, sorted over all tasks. Asked for some
-    pages, each task keeps its best rows and only those travel, as many as there
-    are up to the last page; no full sort takes place.
+    Without ``pages`` it is the whole table, sorted over all tasks. Pages that end within
+    ``SHALLOW`` rows are taken from the best rows of each task. Deeper ones are found by position, so
+    that no task holds the rows before them; ``key`` identifies a row then.
     """
-    ordered = df.orderBy(sort_order(sort_by), F.col(key).asc())
+    order = sort_order(sort_by)
     if pages is None:
         if first_page != 1:
             raise ValueError("all pages start with the first")
-        return ordered
-    return ordered.offset((first_page - 1) * page_size).limit(pages * page_size)
+        return df.orderBy(order, F.col(key).asc())
+    if (first_page - 1 + pages) * page_size <= SHALLOW:
+        return df.orderBy(order, F.col(key).asc()).offset((first_page - 1) * page_size).limit(pages * page_size)
+    found = union_of_extracts(df, [sort_by], pages, page_size, key, first_page)
+    return found.orderBy("position").select(*df.columns)
 
 
 def union_of_extracts(
@@ -125,23 +177,18 @@ def union_of_extracts(
     pages: int | None = None,
     page_size: int = PAGE_SIZE,
     key: str = "id",
+    first_page: int = 1,
 ) -> DataFrame:
-    """One extract per sort key, tagged with it; a row may be in many.
+    """One extract per sort key, tagged with it and with each row's ``position``; a row may be in many.
 
-    Without ``pages`` every extract holds every row, in one pass over the table
-    and without a shuffle. With a number of pages, ``key`` identifies a row; the
-    extracts are settled on two columns each, and the whole rows are fetched in
-    one further pass for all of them.
+    ``key`` identifies a row. Without ``pages`` every extract holds every row. All orders are settled at
+    once on their sort columns, by ranges that are written when this is called; the whole rows are
+    fetched in one further pass. Pages at any depth cost the same.
     """
-    if pages is None:
-        for sort_by in sort_keys:
-            sort_order(sort_by)
-        tags = F.explode(F.array(*map(F.lit, sort_keys)))
-        return df.select(tags.alias("extract"), *df.columns)
-    chosen = union_all([
-        sorted_page(df, sort_by, pages=pages, page_size=page_size, key=key).select(
-            F.col(key).alias("_key"), F.lit(sort_by).alias("extract")
-        )
-        for sort_by in sort_keys
-    ])
-    return df.join(chosen, F.col(key) == F.col("_key")).select("extract", *df.columns)
+    for sort_by in sort_keys:
+        sort_order(sort_by)
+    placed = _ranges(df, sort_keys, key)
+    if pages is not None:
+        start = (first_page - 1) * page_size
+        placed = placed.filter((F.col("position") > start) & (F.col("position") <= start + pages * page_size))
+    return df.join(placed, F.col(key).eqNullSafe(F.col("_key"))).select("extract", "position", *df.columns)

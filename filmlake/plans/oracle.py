@@ -99,10 +99,8 @@ EXTRACT_ORDERS = {
     "vote_count.asc": "vote_count ASC",
 }
 
-EXTRACTS = " UNION ALL ".join(f"SELECT '{name}' AS extract, * FROM catalogue" for name in EXTRACT_ORDERS)
-
-EXTRACT_PAGES = " UNION ALL ".join(
-    f"(SELECT '{name}' AS extract, * FROM catalogue ORDER BY {order}, id LIMIT 40)"
+EXTRACTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS extract, row_number() OVER (ORDER BY {order} NULLS LAST, id) AS position, * FROM catalogue"
     for name, order in EXTRACT_ORDERS.items()
 )
 
@@ -218,6 +216,12 @@ ORACLE: dict[str, str] = {
                         AS INTEGER) AS ranking
             FROM events
         ) WHERE ranking <= 3""",
+    "top_lines_by_order": """
+        SELECT l_orderkey, l_linenumber, l_quantity, ranking FROM (
+            SELECT l_orderkey, l_linenumber, l_quantity,
+                   CAST(rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC NULLS LAST) AS INTEGER) AS ranking
+            FROM lineitem
+        ) WHERE ranking <= 2""",
     "genres_text_per_film": f"WITH {BY_GENRE} {GENRES_TEXT}",
     "row_counts": f"""WITH {FILMS}, {GENRES}, {PAIRS}
         SELECT 'filmes' AS table_name, count(*) AS row_count FROM films
@@ -348,7 +352,9 @@ ORACLE: dict[str, str] = {
         SELECT NULL, s_suppkey, s_nationkey, s_name, s_acctbal FROM supplier""",
     "sorted_page": f"""WITH {CATALOGUE}
         SELECT * FROM catalogue ORDER BY release_date DESC, id LIMIT 200 OFFSET 40""",
-    "extract_pages": f"WITH {CATALOGUE} {EXTRACT_PAGES}",
+    "extract_pages": f"WITH {CATALOGUE} SELECT * FROM ({EXTRACTS}) WHERE position <= 40",
+    "last_pages": f"""WITH {CATALOGUE} SELECT * FROM ({EXTRACTS})
+        WHERE position > (SELECT (count(*) - 1) // 20 * 20 FROM catalogue)""",
     "union_of_extracts": f"WITH {CATALOGUE} {EXTRACTS}",
     "jsonl_roundtrip": f"""WITH {RAW}
         SELECT id, title, original_language, release_date,

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from filmlake.functions.languages import LANGUAGE_LABELS
 from filmlake.functions.predicates import DATE_FORMAT, is_valid_film
@@ -34,11 +35,15 @@ def collect_extracts(
     pages: int | None = None,
     page_size: int = PAGE_SIZE,
 ) -> int:
-    """Append one extract of the catalogue per sort key, all of it unless pages are given; rows written.
+    """Append extracts of the catalogue, one per sort key; rows written.
 
-    The extracts overlap, and so do repeated collections; ``build_silver``
-    settles that.
+    Extracts of some pages are folders of their own. They overlap, and so do repeated
+    collections; ``build_silver`` settles that. Whole extracts all hold the same rows, so without
+    ``pages`` the catalogue is written once, each row with the list of the extracts it is in.
     """
+    if pages is None:
+        tags = F.array(*map(F.lit, sort_keys))
+        return write_json_lines(catalogue.withColumn("extracts", tags), folder)
     extracts = union_of_extracts(catalogue, sort_keys, pages, page_size)
     return write_json_lines(extracts, folder, split_by="extract")
 

@@ -94,6 +94,13 @@ def top_events_by_type(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.top_with_ties(events, ["event_type"], "value", 3)
 
 
+@query
+def top_lines_by_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Top-k over as many groups as there are orders."""
+    lines = star.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return ranking.top_with_ties(lines, ["l_orderkey"], "l_quantity", 2)
+
+
 @query
 def genres_text_per_film(spark: SparkSession, folder: str) -> DataFrame:
     return views.genres_text_per_film(star.by_genre(spark, folder))
@@ -347,8 +354,17 @@ def extract_pages(spark: SparkSession, folder: str) -> DataFrame:
     return ranking.union_of_extracts(star.catalogue(spark, folder), pages=2)
 
 
+@query
+def last_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The last page of each extract."""
+    catalogue = star.catalogue(spark, folder)
+    last = -(-catalogue.count() // ranking.PAGE_SIZE)
+    return ranking.union_of_extracts(catalogue, pages=1, first_page=max(1, last))
+
+
 @query
 def union_of_extracts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of the catalogue with its position in each of thirteen orders."""
     return ranking.union_of_extracts(star.catalogue(spark, folder))
 
 

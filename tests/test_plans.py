@@ -81,17 +81,21 @@ def test_genre_text_reuses_the_partitioning_by_film(spark, plan, setting):
     )
 
 
-def test_extracts_are_settled_on_two_columns(spark, plan):
+def test_extracts_are_settled_at_once(spark, plan):
+    """All orders are written by one shuffle; what is left joins a page's keys to one scan."""
     text = plan(union_of_extracts(star.catalogue(spark, SF), pages=2))
-    assert text.count("TakeOrderedAndProject") == 13
-    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text
+    assert "TakeOrdered" not in text and "rangepartitioning" not in text
+    assert text.count("FileScan parquet [o_orderkey") == 1
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_whole_extracts_take_one_scan(spark, plan):
-    text = plan(union_of_extracts(star.catalogue(spark, SF)))
-    assert text.count("Scan parquet") <= 2
-    assert "TakeOrdered" not in text and "Exchange" not in text
+def test_top_shuffles_candidates_once(spark):
+    """Rows and places read the same shuffled candidates."""
+    top = views.top_films_by_genre(star.by_genre(spark, SF, with_votes=True), 150)
+    top.collect()
+    final = top._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1
+    assert final.count("FileScan parquet") == 5
 
 
 @pytest.mark.parametrize("name", ["rating_pattern", "top_films_by_genre", "genres_of_title"])

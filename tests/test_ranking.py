@@ -132,6 +132,49 @@ def test_pages_follow_each_other(catalogue, sort_by):
     )
 
 
+@pytest.mark.parametrize("sort_by", ["original_title.desc", "vote_count.asc"])
+def test_deep_pages_are_those_of_the_whole_order(catalogue, monkeypatch, plan, sort_by):
+    whole = [r["id"] for r in ranking.sorted_page(catalogue, sort_by).collect()]
+    monkeypatch.setattr(ranking, "SHALLOW", 30)
+    for page in (3, 5, 6):
+        deep = ranking.sorted_page(catalogue, sort_by, first_page=page, pages=1)
+        assert [r["id"] for r in deep.collect()] == whole[(page - 1) * 20 : page * 20]
+        assert deep.columns == catalogue.columns
+        assert "TakeOrdered" not in plan(deep)
+
+
+def test_positions_of_all_orders(spark, catalogue):
+    """Every order against a sort of plain rows: ties by id, NULLs last, an id that is NULL last of its ties."""
+    odd = spark.createDataFrame(
+        [(None, None, "o", None, 1.0, None, 0.5, 1), (200, "t1", None, "2001-01-01", None, 3, None, None)], CATALOGUE
+    )
+    both = catalogue.union(odd)
+    data = both.collect()
+    found = {}
+    for r in ranking.union_of_extracts(both).collect():
+        found.setdefault(r["extract"], []).append((r["position"], r["id"]))
+    assert set(found) == set(ranking.EXTRACTS)
+    for sort_by, placed in found.items():
+        field, way = sort_by.split(".")
+        column = ranking.FIELD_COLUMNS.get(field, field)
+        by_id = sorted(data, key=lambda r: (r["id"] is not None, r["id"] or 0))  # NULL first
+        given = [r for r in by_id if r[column] is not None]
+        given.sort(key=lambda r: r[column], reverse=way == "desc")
+        expected = given + [r for r in by_id if r[column] is None]
+        assert sorted(placed) == [(i + 1, r["id"]) for i, r in enumerate(expected)]
+
+
+def test_many_groups_at_many_partitions(spark, setting):
+    """Places are no more than candidates, so groups times partitions is never built."""
+    setting("spark.sql.shuffle.partitions", "200")
+    df = spark.range(0, 200_000, 1, 8).select(
+        (F.col("id") % 50_000).alias("g"), (F.xxhash64("id") % 7).alias("v"), "id"
+    )
+    got = ranking.top_with_ties(df, ["g"], "v", 2)
+    assert got.exceptAll(ranking.ranked_top(df, ["g"], "v", 2)).count() == 0
+    assert got.count() == ranking.ranked_top(df, ["g"], "v", 2).count()
+
+
 def test_unknown_sort_key(catalogue):
     with pytest.raises(ValueError, match="unknown sort key"):
         ranking.sorted_page(catalogue, "budget.desc")
@@ -146,7 +189,7 @@ def test_nulls_come_last_either_way(spark):
 def test_whole_extracts_hold_every_row(catalogue, rows):
     union = ranking.union_of_extracts(catalogue)
     assert union.count() == 13 * 100
-    assert rows(union.filter("extract = 'title.asc'").drop("extract")) == rows(catalogue)
+    assert rows(union.filter("extract = 'title.asc'").drop("extract", "position")) == rows(catalogue)
     with pytest.raises(ValueError, match="unknown sort key"):
         ranking.union_of_extracts(catalogue, ["budget.desc"])
     with pytest.raises(ValueError, match="start with the first"):
@@ -157,7 +200,7 @@ def test_union_of_extracts_holds_each_extract(catalogue, rows):
     union = ranking.union_of_extracts(catalogue, pages=1)
     assert union.count() == 13 * 20
     for sort_by in ranking.EXTRACTS:
-        one = union.filter(F.col("extract") == sort_by).drop("extract")
+        one = union.filter(F.col("extract") == sort_by).drop("extract", "position")
         assert rows(one) == rows(ranking.sorted_page(catalogue, sort_by, pages=1))
 
 
