@@ -184,6 +184,17 @@ known AS (
 LABEL_CASES = """CASE original_language WHEN 'fr' THEN 'Francês' WHEN 'fa' THEN 'Persa'
             WHEN 'or' THEN 'Oriya' END"""
 
+SILVER = f"""
+        SELECT clean.id, title AS titulo, {LABEL_CASES} AS idioma_original,
+               release_date AS data_lancamento, popularity AS popularidade,
+               vote_average AS nota_media, vote_count AS total_votos,
+               genre_count, genre_id_sum
+        FROM clean LEFT JOIN (
+            SELECT id_filme, count(*) AS genre_count,
+                   CAST(sum(id_genero) AS BIGINT) AS genre_id_sum
+            FROM clean_pairs WHERE id_genero IN (SELECT id FROM genres) GROUP BY id_filme
+        ) ON id_filme = clean.id"""
+
 ORDER_TYPES = {
     "o_orderkey": "bigint",
     "o_custkey": "bigint",
@@ -373,16 +384,9 @@ ORACLE: dict[str, str] = {
     "parquet_roundtrip": f"""WITH {PAIRS}
         SELECT * FROM pairs UNION ALL SELECT * FROM pairs""",
     "csv_roundtrip": "SELECT doc_id, text, lang FROM documents",
-    "silver_tables": f"""WITH {CLEAN}, {GENRES}
-        SELECT clean.id, title AS titulo, {LABEL_CASES} AS idioma_original,
-               release_date AS data_lancamento, popularity AS popularidade,
-               vote_average AS nota_media, vote_count AS total_votos,
-               genre_count, genre_id_sum
-        FROM clean LEFT JOIN (
-            SELECT id_filme, count(*) AS genre_count,
-                   CAST(sum(id_genero) AS BIGINT) AS genre_id_sum
-            FROM clean_pairs WHERE id_genero IN (SELECT id FROM genres) GROUP BY id_filme
-        ) ON id_filme = clean.id""",
+    "silver_tables": f"WITH {CLEAN}, {GENRES} {SILVER}",
+    # a film that both batches hold keeps the best copy of the first
+    "silver_appended": f"WITH {CLEAN.replace(COPY, COPY.replace('popularity DESC', 'revenue % 2, popularity DESC', 1))}, {GENRES} {SILVER}",
     "gold_export_status": f"""WITH {BY_GENRE}, {YEARLY}
         SELECT 'filmes_lancados_por_ano' AS name, true AS ok, count(*) AS row_count
         FROM ({FILMS_PER_YEAR})

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from filmlake import snapshots
 from filmlake.functions.languages import LANGUAGE_LABELS
 from filmlake.functions.predicates import DATE_FORMAT, is_valid_film
 from filmlake.operators.clean import audit_columns, clean_films, corrupt_column
@@ -22,8 +22,8 @@ from filmlake.sinks import (
     write_json_lines,
     write_parquet,
 )
-from filmlake.sources import FILM_FILES, list_views, read_films, read_genres
-from filmlake.staging import discard, new_folder, replace, stage
+from filmlake.sources import FILM_FILES, SOURCES, list_files, list_views, read_films, read_genres
+from filmlake.staging import discard, new_folder, stage
 
 EXPORT_STATUS = "name string, ok boolean, row_count long, error string"
 
@@ -48,6 +48,25 @@ def collect_extracts(
     return write_json_lines(extracts, folder, split_by="extract")
 
 
+def _written(df: DataFrame, silver: str, table: str, num_files: int | None = None) -> tuple[str, int]:
+    """Rows of a table in a folder that no version names yet; its name and the rows written."""
+    name, path = snapshots.new_table(silver, table)
+    return name, write_parquet(df, path, num_files=num_files)
+
+
+def _valid_records(
+    spark: SparkSession, films, pattern: str, as_of, date_format: str | None, scratch: str
+) -> tuple[DataFrame, dict[str, int]]:
+    """Valid raw records, staged, and the audit of all of them.
+
+    The job has no shuffle, so the audit it counts is exact even when tasks run twice.
+    """
+    audit = Observation()
+    raw = read_films(spark, films, pattern).observe(audit, *audit_columns(as_of, date_format), corrupt_column())
+    valid = raw.filter(is_valid_film(as_of, date_format)).drop("source_file", CORRUPT)
+    return stage(valid, f"{scratch}/valid"), audit.get
+
+
 def build_silver(
     spark: SparkSession,
     film_folder: str,
@@ -60,52 +79,147 @@ def build_silver(
     film_files: int | None = None,
     pair_files: int | None = None,
 ) -> dict[str, int]:
-    """Bronze JSON to the tables ``films``, ``genres`` and ``film_genres``.
+    """Bronze JSON to a new version of the tables ``films``, ``genres`` and ``film_genres``.
 
-    The JSON is parsed once, and its valid records are staged; that job has no
-    shuffle, so the audit it counts is exact even when tasks run twice. The clean
+    The JSON is parsed once, and its valid records are staged. The clean
     records are staged too: the duplicates are settled once, and films and pairs
     come from the same survivors without a further shuffle.
 
-    The three tables are written beside the present ones and take their places
-    together at the end. Without a valid film all three stay as they were.
+    The tables are written beside the present ones and become current together, in one step
+    (see ``filmlake.snapshots``); the version also knows which files it was read from. Without a valid
+    film, or when a build fails, the present version stays. Two older versions stay readable.
     Returns the audit, and the rows of each table that was built.
     """
-    scratch, new = new_folder(spark, "silver"), f"{silver}/_new-{uuid.uuid4().hex}"
+    scratch = new_folder(spark, "silver")
+    base = snapshots.current(spark, silver) or snapshots.Snapshot(silver)
+    made: list[str] = []
     try:
-        audit = Observation()
-        raw = read_films(spark, film_folder, pattern).observe(
-            audit, *audit_columns(as_of, date_format), corrupt_column()
-        )
-        valid = raw.filter(is_valid_film(as_of, date_format)).drop("source_file", CORRUPT)
-        valid = stage(valid, f"{scratch}/valid")
-        report = {"genres": write_parquet(conform(read_genres(spark, genre_file), GENRES), f"{new}/genres")}
-        report |= audit.get
+        sources = stage(list_files(spark, film_folder, pattern), f"{scratch}/sources")
+        genres, report = conform(read_genres(spark, genre_file), GENRES), {}
+        name, report["genres"] = _written(genres, silver, "genres")
+        made.append(name)
+        valid, audit = _valid_records(spark, film_folder, pattern, as_of, date_format, scratch)
+        report |= audit
         if report["rows_valid"] == 0:
             return report | {"films": 0, "film_genres": 0}
 
         records = stage(clean_films(valid, as_of, date_format), f"{scratch}/records")
         films = conform(films_of(records, labels, date_format), FILMS)
-        report["films"] = write_parquet(films, f"{new}/films", num_files=film_files)
-        genres = spark.read.schema(GENRES).parquet(f"{new}/genres")
+        name, report["films"] = _written(films, silver, "films", film_files)
+        made.append(name)
+        genres = spark.read.schema(GENRES).parquet(f"{silver}/tables/{made[0]}")
         pairs = matching(film_genre_pairs(records), "id_genero", genres, "id")
-        report["film_genres"] = write_parquet(
-            conform(pairs, FILM_GENRES), f"{new}/film_genres", num_files=pair_files
-        )
-        replace(spark, new, silver, ("genres", "films", "film_genres"))
+        name, report["film_genres"] = _written(conform(pairs, FILM_GENRES), silver, "film_genres", pair_files)
+        made.append(name)
+        made.append(_written(sources, silver, "sources")[0])
+        snapshots.commit(spark, base, {x.rpartition("-")[0]: [x] for x in made})
+        made.clear()
+        snapshots.expire(spark, silver)
         report["rows_removed"] = report["rows_in"] - report["films"]
         return report
     finally:
         discard(spark, scratch)
-        discard(spark, new)
+        for name in made:
+            discard(spark, f"{silver}/tables/{name}")
+
+
+def append_silver(
+    spark: SparkSession,
+    film_folder: str,
+    genre_file: str,
+    silver: str,
+    as_of: dt.date | str | None = None,
+    pattern: str = FILM_FILES,
+    labels: Mapping[str, str] = LANGUAGE_LABELS,
+    date_format: str | None = DATE_FORMAT,
+) -> dict[str, int]:
+    """Add to the silver tables what files that no version has read yet hold.
+
+    Only new files are opened; one that has changed since counts as new. A film or genre whose id is
+    there already is not added, so the first one stays, as a primary key would have it. Pairs are
+    those of the added films, with any genre known by now. Earlier folders stay as they are: the new
+    version names them and one more for each table. Without a version yet this is ``build_silver``.
+    Returns the audit of the new files, their number, and the rows added to each table.
+    """
+    base = snapshots.current(spark, silver)
+    if base is None:
+        return build_silver(spark, film_folder, genre_file, silver, as_of, pattern, labels, date_format)
+    scratch = new_folder(spark, "silver")
+    made: dict[str, str] = {}
+    try:
+        listed = list_files(spark, film_folder, pattern)
+        known = base.read(spark, "sources", SOURCES)
+        sources = stage(listed.join(known, SOURCES.names, "left_anti"), f"{scratch}/sources")
+        paths = [row.path for row in sources.select("path").collect()]  # the reader takes names
+        report = {"files": len(paths)}
+
+        def added(rows: DataFrame, table: str, schema, key: str) -> DataFrame:
+            """Rows whose key the table lacks; the keys of the few new rows go to the many old ones."""
+            old = base.read(spark, table, schema).select(F.col(key).alias("_key"))
+            there = old.join(rows.select(F.col(key).alias("_key")), "_key", "left_semi").distinct()
+            return rows.join(there, rows[key] == there["_key"], "left_anti")
+
+        genres = added(conform(read_genres(spark, genre_file), GENRES).dropDuplicates(["id"]), "genres", GENRES, "id")
+        made["genres"], report["genres"] = _written(genres, silver, "genres")
+        report["films"] = report["film_genres"] = 0
+        if paths:
+            valid, audit = _valid_records(spark, paths, pattern, as_of, date_format, scratch)
+            report |= audit
+            records = stage(added(clean_films(valid, as_of, date_format), "films", FILMS, "id"), f"{scratch}/records")
+            films = conform(films_of(records, labels, date_format), FILMS)
+            made["films"], report["films"] = _written(films, silver, "films")
+            genres = base.read(spark, "genres", GENRES).union(
+                spark.read.schema(GENRES).parquet(f"{silver}/tables/{made['genres']}")
+            )
+            pairs = matching(film_genre_pairs(records), "id_genero", genres, "id")
+            made["film_genres"], report["film_genres"] = _written(conform(pairs, FILM_GENRES), silver, "film_genres")
+            made["sources"], _ = _written(sources, silver, "sources")
+        if not paths and not report["genres"]:
+            return report
+        # a folder without rows is left out of the version
+        grown = {name: [made[name]] for name in made if report.get(name, 1)}
+        snapshots.commit(spark, base, {
+            name: [*base.tables.get(name, ()), *grown.get(name, ())] for name in {*base.tables, *grown}
+        })
+        for name in grown:
+            del made[name]
+        snapshots.expire(spark, silver)
+        return report
+    finally:
+        discard(spark, scratch)
+        for name in made.values():
+            discard(spark, f"{silver}/tables/{name}")
+
+
+SILVER_SCHEMAS = {"films": FILMS, "genres": GENRES, "film_genres": FILM_GENRES, "sources": SOURCES}
+
+
+def compact_silver(spark: SparkSession, silver: str) -> dict[str, int]:
+    """A version with the same rows, each table in one folder again; rows of each."""
+    base = snapshots.current(spark, silver)
+    if base is None:
+        raise ValueError(f"{silver} has no version")
+    made = {name: _written(base.read(spark, name, SILVER_SCHEMAS[name]), silver, name) for name in base.tables}
+    try:
+        snapshots.commit(spark, base, {name: [folder] for name, (folder, _) in made.items()})
+    except snapshots.Conflict:
+        for folder, _ in made.values():
+            discard(spark, f"{silver}/tables/{folder}")
+        raise
+    snapshots.expire(spark, silver)
+    return {name: rows for name, (_, rows) in made.items()}
 
 
 def read_silver(spark: SparkSession, silver: str) -> Silver:
-    return Silver(
-        films=spark.read.schema(FILMS).parquet(f"{silver}/films"),
-        genres=spark.read.schema(GENRES).parquet(f"{silver}/genres"),
-        film_genres=spark.read.schema(FILM_GENRES).parquet(f"{silver}/film_genres"),
-    )
+    """The current version of the tables; plain Parquet folders of their names where there are no versions."""
+    version = snapshots.current(spark, silver)
+    if version is None:
+        return Silver(
+            films=spark.read.schema(FILMS).parquet(f"{silver}/films"),
+            genres=spark.read.schema(GENRES).parquet(f"{silver}/genres"),
+            film_genres=spark.read.schema(FILM_GENRES).parquet(f"{silver}/film_genres"),
+        )
+    return Silver(*(version.read(spark, name, SILVER_SCHEMAS[name]) for name in ("films", "genres", "film_genres")))
 
 
 def join_silver(spark: SparkSession, tables: Silver) -> Silver:

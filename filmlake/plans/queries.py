@@ -456,23 +456,41 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 # whole flows
 
 
+def _sized_films(silver: views.Silver) -> DataFrame:
+    """Films with the number and sum of the ids of their genres."""
+    sizes = silver.film_genres.groupBy("id_filme").agg(
+        F.count(F.lit(1)).alias("genre_count"), F.sum("id_genero").alias("genre_id_sum")
+    )
+    films = silver.films.join(sizes, F.col("id") == F.col("id_filme"), "left").drop("id_filme")
+    return _text_date(films)
+
+
+def _genre_file(spark: SparkSession, folder: str, root: str) -> str:
+    genres = star.genres(spark, folder)
+    write_json_array(genres.select(F.col("id").cast("string").alias("id"), "genero"), f"{root}/genres")
+    return f"{root}/genres"
+
+
 @query
 def silver_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Bronze JSON to silver tables, shown as films with the ids of their genres."""
     root = new_folder(spark, "bronze")
     write_json_lines(star.raw_films(spark, folder), f"{root}/films")
-    genres = star.genres(spark, folder)
-    write_json_array(genres.select(F.col("id").cast("string").alias("id"), "genero"), f"{root}/genres")
-    pipeline.build_silver(
-        spark, f"{root}/films", f"{root}/genres", f"{root}/silver", as_of=AS_OF, pattern="*.json"
-    )
+    genres = _genre_file(spark, folder, root)
+    pipeline.build_silver(spark, f"{root}/films", genres, f"{root}/silver", as_of=AS_OF, pattern="*.json")
     discard(spark, f"{root}/films")
-    silver = pipeline.read_silver(spark, f"{root}/silver")
-    sizes = silver.film_genres.groupBy("id_filme").agg(
-        F.count(F.lit(1)).alias("genre_count"), F.sum("id_genero").alias("genre_id_sum")
-    )
-    films = silver.films.join(sizes, F.col("id") == F.col("id_filme"), "left").drop("id_filme")
-    return _text_date(films)
+    return _sized_films(pipeline.read_silver(spark, f"{root}/silver"))
+
+
+@query
+def silver_appended(spark: SparkSession, folder: str) -> DataFrame:
+    """Records that come in two batches of files; the second adds only films the first lacks."""
+    root = new_folder(spark, "batches")
+    genres = _genre_file(spark, folder, root)
+    for batch in (0, 1):
+        write_json_lines(star.raw_films(spark, folder).filter(F.col("revenue") % 2 == batch), f"{root}/films")
+        pipeline.append_silver(spark, f"{root}/films", genres, f"{root}/silver", as_of=AS_OF, pattern="*.json")
+    return _sized_films(pipeline.read_silver(spark, f"{root}/silver"))
 
 
 def _gold(spark: SparkSession, folder: str, root: str) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,13 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; without one, the session's warehouse.
 
-    Executors reach both. Nothing is ever put into a folder of one machine.
+    Executors must reach it. A warehouse in a folder of the driver's machine, which is where an
+    unconfigured session has it, is taken only when all executors run there too.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+        if store == "file" and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors reach; {folder} is one machine's")
     return folder.rstrip("/")
 
 
-def _files(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """Spark's own view of a path and of the store it lies in."""
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path, jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -26,7 +32,7 @@ def _files(spark: SparkSession, path: str):
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder of its own below the shared one, deleted when the session's driver ends."""
     path = f"{shared_folder(spark)}/filmlake-{name}-{uuid.uuid4().hex}"
-    jvm_path, files = _files(spark, path)
+    jvm_path, files = hadoop_path(spark, path)
     files.mkdirs(jvm_path)
     files.deleteOnExit(jvm_path)
     return path
@@ -41,36 +47,7 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def replace(spark: SparkSession, new: str, target: str, tables: Sequence[str]) -> None:
-    """Put the tables below ``new``, all of them written, in the place of those below ``target``.
-
-    Only names change in this step, so a failure before it leaves all old tables; one
-    within it is taken back. The old ones are deleted after the last new one has its name.
-    """
-    old = f"{new}/_old"
-    _, files = _files(spark, target)
-    for folder in (old, target):
-        files.mkdirs(_files(spark, folder)[0])
-    moves = [(f"{target}/{name}", f"{old}/{name}") for name in tables]
-    moves += [(f"{new}/{name}", f"{target}/{name}") for name in tables]
-    done = []
-    try:
-        for source, goal in moves:
-            path = _files(spark, source)[0]
-            if files.exists(path):
-                if not files.rename(path, _files(spark, goal)[0]):
-                    raise OSError(f"{source} could not be moved to {goal}")
-                done.append((source, goal))
-    except Exception:
-        for source, goal in reversed(done):
-            files.rename(_files(spark, goal)[0], _files(spark, source)[0])
-        raise
-    discard(spark, new)
-    for name in tables:
-        spark.catalog.refreshByPath(f"{target}/{name}")
-
-
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table when the run that wrote it is over."""
-    jvm_path, files = _files(spark, path)
+    jvm_path, files = hadoop_path(spark, path)
     files.delete(jvm_path, True)

@@ -7,8 +7,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from filmlake import snapshots
+from filmlake.operators import ranking
 from filmlake.plans import contracts, pipeline, views
 from filmlake.plans.queries import QUERIES
+from filmlake.schemas import FILMS
 from tests.test_clean import EDGES, AS_OF
 
 GENRES = [("28", "Ação"), ("878", "Ficção científica"), ("18", "Drama"), ("99", "Documentário"), ("35", "Comédia")]
@@ -103,7 +106,9 @@ def test_fewer_genres_without_a_film_leave_all_three_tables(spark, bronze, tmp_p
     silver = pipeline.read_silver(spark, str(tmp_path / "silver"))
     assert silver.genres.count() == 1
     assert {r["violations"] for r in contracts.contract_report(silver).collect()} == {0}
-    assert sorted(p.name for p in (tmp_path / "silver").iterdir()) == ["film_genres", "films", "genres"]
+    # the current version and the one before, which a reader may still have open
+    assert sorted(p.name for p in (tmp_path / "silver/manifests").glob("*.json")) == ["00000001.json", "00000002.json"]
+    assert len(list((tmp_path / "silver/tables").iterdir())) == 2 * 4
 
 
 def test_a_failing_build_leaves_all_three_tables(spark, bronze, tmp_path):
@@ -115,6 +120,110 @@ def test_a_failing_build_leaves_all_three_tables(spark, bronze, tmp_path):
     assert (silver.films.count(), silver.genres.count(), silver.film_genres.count()) == (5, 5, 5)
 
 
+def contents(silver):
+    return sorted(map(tuple, silver.films.collect())), sorted(map(tuple, silver.film_genres.collect()))
+
+
+def test_a_reader_sees_one_version_whatever_step_a_build_dies_at(spark, bronze, tmp_path, monkeypatch):
+    """A build is stopped at each table and at the commit; then one ends while a reader has the old tables open."""
+    build(spark, bronze, tmp_path / "silver")
+    opened = pipeline.read_silver(spark, str(tmp_path / "silver"))
+    before = contents(opened)
+    more = [(70, "X", "en", "1999-03-31", [28], 1.5, 8.0, 10)]
+    (bronze / "films" / "c.jsonl").write_text("\n".join(map(film_json, more)), "utf-8")
+    write = pipeline.write_parquet
+    for fatal in ("genres", "films", "film_genres", "sources"):
+        def dies(df, path, fatal=fatal, **more):
+            if f"/{fatal}-" in path:
+                raise KeyboardInterrupt(fatal)
+            return write(df, path, **more)
+
+        monkeypatch.setattr(pipeline, "write_parquet", dies)
+        with pytest.raises(KeyboardInterrupt):
+            build(spark, bronze, tmp_path / "silver")
+        assert contents(pipeline.read_silver(spark, str(tmp_path / "silver"))) == before
+    monkeypatch.setattr(pipeline, "write_parquet", write)
+    commit = snapshots.commit
+
+    def half(spark, base, tables):
+        (tmp_path / "silver/manifests/_draft").write_text("{")  # what a writer that died in the step would leave
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(snapshots, "commit", half)
+    with pytest.raises(KeyboardInterrupt):
+        build(spark, bronze, tmp_path / "silver")
+    assert contents(pipeline.read_silver(spark, str(tmp_path / "silver"))) == before
+    monkeypatch.setattr(snapshots, "commit", commit)
+    build(spark, bronze, tmp_path / "silver")
+    assert contents(opened) == before
+    assert len(contents(pipeline.read_silver(spark, str(tmp_path / "silver")))[0]) == 6
+
+
+def test_versions_follow_each_other(spark, tmp_path):
+    root = str(tmp_path / "root")
+    first = snapshots.commit(spark, snapshots.Snapshot(root), {"films": ["a"]})
+    second = snapshots.commit(spark, first, {"films": ["a", "b"]})
+    with pytest.raises(snapshots.Conflict):
+        snapshots.commit(spark, first, {"films": ["c"]})
+    assert snapshots.current(spark, root) == second
+    for name in ("a", "b", "c"):
+        (tmp_path / "root/tables" / name).mkdir(parents=True)
+    last = snapshots.commit(spark, snapshots.commit(spark, second, {"films": ["b"]}), {"films": ["c"]})
+    snapshots.expire(spark, root, keep=1)
+    assert sorted(p.name for p in (tmp_path / "root/tables").iterdir()) == ["b", "c"]
+    assert snapshots.current(spark, root) == last and last.number == 4
+    assert snapshots.current(spark, str(tmp_path / "none")) is None
+    assert last.read(spark, "unknown", FILMS).count() == 0
+
+
+def append(spark, bronze, silver):
+    return pipeline.append_silver(
+        spark, str(bronze / "films"), str(bronze / "genres.json"), str(silver), as_of=AS_OF
+    )
+
+
+def test_append_reads_new_files_only(spark, bronze, tmp_path, rows, monkeypatch):
+    silver = tmp_path / "silver"
+    assert append(spark, bronze, silver)["films"] == 5  # nothing there yet, so all is built
+    nothing = append(spark, bronze, silver)
+    assert nothing == {"files": 0, "genres": 0, "films": 0, "film_genres": 0}
+    assert snapshots.current(spark, str(silver)).number == 1
+    more = [
+        (1, "A again", "en", "1999-03-31", [35], 99.0, 8.0, 10),  # its id is there
+        (70, "X", "en", "1999-03-31", [28, 53], 1.5, 8.0, 10), (70, "X", "en", "1999-03-31", [28], 0.5, 8.0, 10),
+        (71, " ", "en", "1999-03-31", [28], 1.5, 8.0, 10),
+    ]
+    (bronze / "films" / "c.jsonl").write_text("\n".join(map(film_json, more)), "utf-8")
+    (bronze / "genres.json").write_text(json.dumps([{"id": "28", "genero": "other"}, {"id": "53", "genero": "Thriller"}]), "utf-8")
+    opened = []
+    read = pipeline.read_films
+    monkeypatch.setattr(pipeline, "read_films", lambda s, f, p: opened.append(f) or read(s, f, p))
+    report = append(spark, bronze, silver)
+    assert [[p.rpartition("/")[2] for p in paths] for paths in opened] == [["c.jsonl"]]
+    assert (report["files"], report["rows_in"], report["genres"], report["films"], report["film_genres"]) == (1, 4, 1, 1, 2)
+    tables = pipeline.read_silver(spark, str(silver))
+    assert {(1, "A"), (70, "X")} <= set(rows(tables.films.select("id", "titulo"))) and tables.films.count() == 6
+    assert rows(tables.film_genres.filter("id_filme = 70")) == [(70, 28), (70, 53)]
+    assert ("Ação",) in rows(tables.genres.filter("id = 28").select("genero")) and tables.genres.count() == 6
+    assert {r["violations"] for r in contracts.contract_report(tables).collect()} == {0}
+    before = contents(tables)
+    assert pipeline.compact_silver(spark, str(silver)) == {"films": 6, "genres": 6, "film_genres": 7, "sources": 3}
+    assert all(len(x) == 1 for x in snapshots.current(spark, str(silver)).tables.values())
+    assert contents(pipeline.read_silver(spark, str(silver))) == before
+    assert append(spark, bronze, silver)["files"] == 0
+
+
+def test_a_failing_append_leaves_all_tables(spark, bronze, tmp_path, monkeypatch):
+    build(spark, bronze, tmp_path / "silver")
+    before = contents(pipeline.read_silver(spark, str(tmp_path / "silver")))
+    (bronze / "films" / "c.jsonl").write_text(film_json((70, "X", "en", "1999-03-31", [28], 1.5, 8.0, 10)), "utf-8")
+    monkeypatch.setattr(pipeline, "matching", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        append(spark, bronze, tmp_path / "silver")
+    assert contents(pipeline.read_silver(spark, str(tmp_path / "silver"))) == before
+    assert len(list((tmp_path / "silver/tables").iterdir())) == 4
+
+
 def test_records_without_an_id_are_no_films(spark, bronze, tmp_path):
     edges = [(None, "X", "en", "1999-03-31", [28], 1.5, 8.0, 10), (None, "Y", "en", "1999-03-31", [28], 1.5, 8.0, 10)]
     (bronze / "films" / "c.jsonl").write_text("\n".join(map(film_json, edges)), "utf-8")
@@ -180,7 +289,11 @@ def test_one_failing_view_does_not_stop_the_others(spark, tmp_path):
 def test_collected_extracts_feed_silver(spark, bronze, tmp_path):
     catalogue = spark.read.json(str(bronze / "films" / "b.jsonl")).withColumn("revenue", F.lit(1).cast("long"))
     written = pipeline.collect_extracts(catalogue.dropDuplicates(["id"]), str(tmp_path / "extracts"))
-    assert written == 13 * 6
+    assert written == 6  # each row once, with the list of the extracts that hold it
+    tags = spark.read.json(str(tmp_path / "extracts")).select("extracts").distinct().collect()
+    assert [set(r.extracts) for r in tags] == [set(ranking.EXTRACTS)]
+    assert pipeline.collect_extracts(catalogue.dropDuplicates(["id"]), str(tmp_path / "pages"), pages=1) == 13 * 6
+    assert len(list((tmp_path / "pages").glob("extract=*"))) == 13
     report = pipeline.build_silver(
         spark, str(tmp_path / "extracts"), str(bronze / "genres.json"), str(tmp_path / "silver"),
         as_of=AS_OF, pattern="*.json",
