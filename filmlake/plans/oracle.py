@@ -287,7 +287,7 @@ ORACLE: dict[str, str] = {
                 l_shipdate DESC NULLS LAST) AS copy_number
             FROM lineitem
         ) WHERE copy_number = 1""",
-    "dedupe_any": "SELECT DISTINCT l_orderkey FROM lineitem",
+    "dedupe_any": "SELECT DISTINCT l_orderkey, CAST(1 AS BIGINT) AS kept, CAST(1 AS BIGINT) AS whole FROM lineitem",
     "distinct_pairs": f"""WITH {RAW}
         SELECT DISTINCT id AS id_filme, unnest(genre_ids) AS id_genero FROM raw""",
     "clean_valid": f"WITH {CLEAN} SELECT * EXCLUDE (genre_ids) FROM clean",
@@ -356,6 +356,20 @@ ORACLE: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM genres WHERE genres.id = id_genero)""",
     "conform_types": f"""WITH {FILMS}
         SELECT * REPLACE (CAST(data_lancamento AS VARCHAR) AS data_lancamento) FROM films""",
+    "rejected_rows": """
+        SELECT 'id' AS column_name, 'does not cast' AS reason, count(*) AS row_count
+        FROM orders WHERE o_orderkey % 97 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'id', 'NULL', count(*) FROM orders
+        WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'titulo', 'too long', count(*) FROM orders
+        WHERE o_orderkey % 83 = 0 AND 60 * length('Order#' || o_orderkey) > 255 HAVING count(*) > 0
+        UNION ALL SELECT 'data_lancamento', 'does not cast', count(*) FROM orders
+        WHERE o_orderkey % 79 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'nota_media', 'does not cast', count(*) FROM orders
+        WHERE o_orderkey % 73 = 0 AND o_orderkey % 2 = 0 HAVING count(*) > 0
+        UNION ALL SELECT '', 'kept', count(*) FROM orders
+        WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0 AND o_orderkey % 83 <> 0 AND o_orderkey % 79 <> 0
+          AND (o_orderkey % 73 <> 0 OR o_orderkey % 2 <> 0)""",
     "union_by_name": """
         SELECT c_mktsegment AS segment, c_custkey AS id, c_nationkey AS nation,
                c_name AS name, c_acctbal AS balance FROM customer
@@ -409,6 +423,13 @@ ORACLE: dict[str, str] = {
         contents("popularidade_por_ano", "ano, qtd_filmes", "media_popularidade", POPULARITY_BY_YEAR),
         contents("generos_por_popularidade", "genero, qtd_filmes", "media_popularidade", POPULARITY_BY_GENRE),
     ]),
+    "gold_order": f"""WITH {BY_GENRE}
+        SELECT 'popularidade_por_ano' AS result, count(*) AS row_count, CAST(0 AS BIGINT) AS astray FROM ({POPULARITY_BY_YEAR})
+        UNION ALL SELECT 'generos_por_popularidade', count(*), 0 FROM ({POPULARITY_BY_GENRE})
+        UNION ALL SELECT 'popularidade_vs_nota_media', count(*), 0 FROM ({GENRES_TEXT})""",
+    "export_without_views": """
+        SELECT 0 AS given, CAST(0 AS BIGINT) AS views, CAST(0 AS BIGINT) AS row_count
+        UNION ALL SELECT 1, 1, count(DISTINCT o_orderpriority) FROM orders""",
     "export_isolation": """
         SELECT 'isolated_fails' AS name, false AS ok, CAST(NULL AS BIGINT) AS row_count
         UNION ALL SELECT 'isolated_works', true, count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderpriority)""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filmlake.functions.languages import LANGUAGE_LABELS
@@ -13,7 +13,7 @@ from filmlake.operators.aggregate import row_counts as row_counts_of
 from filmlake.operators.aggregate import yearly_ratings
 from filmlake.operators.checks import key_violations, orphans, text_violations
 from filmlake.plans import contracts, pipeline, star, views
-from filmlake.schemas import FILMS, GENRES, conform
+from filmlake.schemas import FILMS, GENRES, TEXT_LIMITS, conform, conform_or_reject
 from filmlake.sinks import (
     write_csv,
     write_json_array,
@@ -211,8 +211,14 @@ def dedupe_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dedupe_any(spark: SparkSession, folder: str) -> DataFrame:
-    """Any one line per order; only the key is the same in every run."""
-    return clean.keep_any(star.table(spark, folder, "lineitem"), ["l_orderkey"]).select("l_orderkey")
+    """Any one line per order: how many are kept of each, and how many of these are whole lines of the input."""
+    lines = star.table(spark, folder, "lineitem")
+    kept = clean.keep_any(lines, ["l_orderkey"]).withColumn("kept", F.lit(1))
+    both = kept.unionByName(lines.withColumn("kept", F.lit(0)))
+    by_line = both.groupBy(*lines.columns).agg(F.sum("kept").alias("kept"), F.count_if(F.col("kept") == 0).alias("given"))
+    return by_line.groupBy("l_orderkey").agg(
+        F.sum("kept").alias("kept"), F.sum(F.when(F.col("given") > 0, F.col("kept")).otherwise(0)).alias("whole")
+    )
 
 
 @query
@@ -318,6 +324,27 @@ def conform_types(spark: SparkSession, folder: str) -> DataFrame:
     return _text_date(conform(texts.withColumn("extra", F.lit("x")), FILMS))
 
 
+@query
+def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A film table with values that break its contract: rows kept, and rows rejected by column and reason."""
+    films = star.films(spark, folder, with_votes=False).withColumn("total_votos", F.lit("1"))
+    at = F.col("at")
+    texts = films.withColumn("at", F.col("id")).select("at", *(F.col(name).cast("string") for name in films.columns))
+    dirty = texts.withColumns({
+        "id": F.when(at % 97 == 0, "x").when(at % 89 != 0, F.col("id")),
+        "titulo": F.when(at % 83 == 0, F.repeat("titulo", 60)).otherwise(F.col("titulo")),
+        "data_lancamento": F.when(at % 79 == 0, "2001-13-45").otherwise(F.col("data_lancamento")),
+        "nota_media": F.when(at % 73 != 0, F.col("nota_media")).when(at % 2 == 0, "n/a"),
+    })
+    kept, rejected = conform_or_reject(dirty, FILMS, TEXT_LIMITS["films"])
+    return relate.union_all([
+        rejected.groupBy("column_name", "reason").agg(F.count(F.lit(1)).alias("row_count")),
+        kept.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit("").alias("column_name"), F.lit("kept").alias("reason"), "row_count"
+        ),
+    ])
+
+
 @query
 def union_by_name(spark: SparkSession, folder: str) -> DataFrame:
     """Two tables with other column orders, one lacking a column."""
@@ -540,6 +567,60 @@ def gold_contents(spark: SparkSession, folder: str) -> DataFrame:
     return relate.union_all(parts)
 
 
+# of each sorted result, the column it falls by
+GOLD_ORDER = {
+    "popularidade_por_ano": "media_popularidade",
+    "generos_por_popularidade": "media_popularidade",
+    "popularidade_vs_nota_media": "popularidade",
+}
+
+
+@query
+def gold_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Of each sorted result, the rows in its CSV files, and those that stand below a smaller value."""
+    root = new_folder(spark, "order")
+    _gold(spark, folder, root)
+    parts = []
+    for name, number in GOLD_ORDER.items():
+        schema = spark.table(name).schema
+        rows = spark.read.schema(schema).option("header", True).option("escape", '"').csv(f"{root}/gold/{name}")
+        placed = rows.select(
+            F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"), F.col(number).alias("value")
+        )
+        in_file = Window.partitionBy("file").orderBy("at")
+        by_file = placed.withColumn("above", F.lag("value").over(in_file)).groupBy("file").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("above") < F.col("value")).alias("astray"),
+            F.max_by("value", F.struct(-F.col("at"))).alias("first"),
+            F.max_by("value", "at").alias("last"),
+        )
+        # files follow each other by name; there are few
+        before = F.lag("last").over(Window.orderBy("file"))
+        parts.append(
+            by_file.withColumn("step", F.when(before < F.col("first"), 1).otherwise(0))
+            .agg(F.sum("rows").alias("row_count"), F.sum(F.col("astray") + F.col("step")).alias("astray"))
+            .select(F.lit(name).alias("result"), "row_count", "astray")
+        )
+    return relate.union_all(parts)
+
+
+@query
+def export_without_views(spark: SparkSession, folder: str) -> DataFrame:
+    """How many views an export of none, and one of a single view, report, and the rows of these."""
+    view = "export_alone"
+    star.table(spark, folder, "orders").groupBy("o_orderpriority").count().createOrReplaceTempView(view)
+    root = new_folder(spark, "alone")
+    out = relate.union_all([
+        pipeline.export_views(spark, root, names)
+        .agg(F.count(F.lit(1)).alias("views"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"))
+        .select(F.lit(len(names)).alias("given"), "views", "row_count")
+        for names in ([], [view])
+    ])
+    spark.catalog.dropTempView(view)
+    discard(spark, root)
+    return out
+
+
 @query
 def export_isolation(spark: SparkSession, folder: str) -> DataFrame:
     """A view that fails while it is exported, and one beside it that does not."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -78,3 +80,32 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         return value.alias(f.name)
 
     return df.select(*map(brought, schema))
+
+
+def conform_or_reject(
+    df: DataFrame, schema: StructType, limits: Mapping[str, int] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``conform`` for rows that may break the contract: those that keep it, and those that don't.
+
+    The second frame has a row for each column that a row breaks: ``column_name``, ``reason``
+    ("does not cast", "NULL" or "too long", by ``limits``), the ``value`` as text, and ``record``, the whole
+    row as JSON. Both frames read ``df``; hand in a written table to have it computed once.
+    """
+    limits = limits or {}
+    tried = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+
+    def broken(f: StructField) -> Column:
+        value, given = tried[f.name], F.col(f.name).isNotNull()
+        reason = F.when(given & value.isNull(), "does not cast")
+        if not f.nullable:
+            reason = reason.when(~given, "NULL")
+        if f.name in limits:
+            reason = reason.when(F.length(value) > limits[f.name], "too long")
+        return F.struct(
+            F.lit(f.name).alias("column_name"), reason.alias("reason"), F.col(f.name).cast("string").alias("value")
+        )
+
+    reasons = F.filter(F.array(*map(broken, schema.fields)), lambda x: x["reason"].isNotNull())
+    kept = df.filter(F.size(reasons) == 0).select(*(tried[name].alias(name) for name in schema.names))
+    record = F.to_json(F.struct(*df.columns))
+    return conform(kept, schema), df.select(F.inline(reasons), record.alias("record"))

@@ -6,9 +6,13 @@ each output partition once however often a task is retried.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from filmlake.staging import discard, move
+
 # rows of one JSON document
 DOCUMENT_ROWS = 10_000
 
@@ -33,10 +37,21 @@ def write_parquet(
 
 
 def write_parquet_unless_empty(df: DataFrame, path: str, num_files: int | None = None) -> int:
-    """Overwrite ``path``, but leave it as it is when there is nothing to write."""
-    if df.isEmpty():
-        return 0
-    return write_parquet(df, path, num_files=num_files)
+    """Overwrite ``path``, but leave it as it is when there is nothing to write.
+
+    The rows are computed once: they are written beside ``path``, and take its place if there are any.
+    """
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    try:
+        rows = write_parquet(df, beside, num_files=num_files)
+        if rows:
+            discard(spark, path)
+            move(spark, beside, path)
+            spark.catalog.refreshByPath(path)
+    finally:
+        discard(spark, beside)
+    return rows
 
 
 def write_csv(df: DataFrame, path: str, num_files: int | None = None) -> int:
@@ -66,17 +81,26 @@ def write_json_lines(df: DataFrame, path: str, split_by: str | None = None) -> i
 
 
 def write_json_array(df: DataFrame, path: str, document_rows: int = DOCUMENT_ROWS) -> None:
-    """Write a table as JSON arrays, one document a file, up to ``document_rows`` rows each.
+    """Write a table as JSON arrays, one document a file, of at most ``document_rows`` rows each.
 
-    A small table is one document, rows in column order. A larger one is dealt by
-    its values and written by many tasks; a value of many rows goes over several
-    documents. An empty table gives no document. Columns must be of types that
-    can be hashed and sorted.
+    A table that fits is one document, rows in column order. A larger one is dealt by ranges of its
+    values, each cut into documents. A row's number is part of what ranges are cut by, so equal rows,
+    however many, go over as many tasks as their share takes. An empty table gives no
+    document. Columns must be of types that can be sorted.
     """
-    dealt = df.repartition(*df.columns).sortWithinPartitions(*df.columns)
-    at = F.floor(F.monotonically_increasing_id() / document_rows).alias("_document")
+    if df.limit(document_rows + 1).count() > document_rows:
+        order = [*df.columns, "_number"]
+        dealt = df.withColumn("_number", F.monotonically_increasing_id()).repartitionByRange(*order)
+        dealt = dealt.sortWithinPartitions(*order)
+    else:
+        dealt = df.repartition(1)
+    # the upper bits of the id are the task, the lower ones the row in it
+    at = F.monotonically_increasing_id()
+    place = F.floor(at.bitwiseAND(F.lit((1 << 33) - 1)) / document_rows)
     rows = F.sort_array(F.collect_list(F.struct(*df.columns)))
-    documents = dealt.select(at, *df.columns).groupBy("_document").agg(
-        F.to_json(rows, {"ignoreNullFields": "false"}).alias("value")
+    documents = (
+        dealt.select(F.shiftrightunsigned(at, 33).alias("_task"), place.alias("_document"), *df.columns)
+        .groupBy("_task", "_document")
+        .agg(F.to_json(rows, {"ignoreNullFields": "false"}).alias("value"))
     )
     documents.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)

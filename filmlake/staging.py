@@ -47,6 +47,13 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def move(spark: SparkSession, source: str, goal: str) -> None:
+    """Give a written table another name."""
+    path, files = hadoop_path(spark, source)
+    if not files.rename(path, hadoop_path(spark, goal)[0]):
+        raise OSError(f"{source} could not be moved to {goal}")
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table when the run that wrote it is over."""
     jvm_path, files = hadoop_path(spark, path)

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from filmlake.functions.languages import LANGUAGE_LABELS
 from filmlake.operators import relate
 from filmlake.operators.checks import key_violations, text_violations
 from filmlake.plans.contracts import contract_report, violations
 from filmlake.plans.views import Silver, genres_of_title
-from filmlake.schemas import FILM_GENRES, FILMS, GENRES, conform
+from filmlake.schemas import FILM_GENRES, FILMS, GENRES, TEXT_LIMITS, conform, conform_or_reject
 
 
 @pytest.fixture
@@ -122,3 +125,53 @@ def test_conform(spark):
         conform(df.drop("genero"), GENRES)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         conform(df.withColumn("id", F.lit("x")), GENRES).collect()
+
+
+def test_the_report_counts_the_offending_rows(spark):
+    """Random broken tables: missing, repeated and unknown keys, long texts."""
+    rng = random.Random(3)
+    for _ in range(3):
+        ids = [None, *range(6)]
+        text = lambda most: "x" * rng.choice([0, most, most + 1])
+        films = [(rng.choice(ids), text(255), text(50), None, None, None, None) for _ in range(rng.randint(0, 9))]
+        genres = [(rng.choice(ids), text(25)) for _ in range(rng.randint(0, 6))]
+        pairs = [(rng.choice(ids), rng.choice(ids)) for _ in range(rng.randint(0, 20))]
+        frames = [
+            spark.createDataFrame(data, StructType([StructField(f.name, f.dataType) for f in schema]))
+            for data, schema in ((films, FILMS), (genres, GENRES), (pairs, FILM_GENRES))
+        ]
+        silver = Silver(*frames)
+        expected = {name: df.count() for name, df in violations(silver).items()}
+        assert {r["contract"]: r["violations"] for r in contract_report(silver).collect()} == expected
+
+
+def test_the_report_scans_each_table_once(spark, plan):
+    sf = "/root/testdata/sf0.001"
+    frames = [
+        spark.read.parquet(f"{sf}/{table}.parquet").select(*(F.col(a).cast(b).alias(c) for a, b, c in columns))
+        for table, columns in (
+            ("orders", [("o_orderkey", "long", "id"), ("o_orderpriority", "string", "titulo"), ("o_orderstatus", "string", "idioma_original")]),
+            ("nation", [("n_nationkey", "long", "id"), ("n_name", "string", "genero")]),
+            ("lineitem", [("l_orderkey", "long", "id_filme"), ("l_suppkey", "long", "id_genero")]),
+        )
+    ]
+    frames[0] = frames[0].withColumn("x", F.lit(1))
+    text = plan(contract_report(Silver(*frames, by_genre=frames[0])))
+    assert text.count("FileScan") == 3
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_rows_that_break_a_contract_are_told(spark, rows):
+    df = spark.createDataFrame(
+        [("1", "a"), ("x", "b"), (None, None), ("2", "y" * 26), ("z", "y" * 26)], "id string, genero string"
+    ).withColumn("extra", F.lit(1))
+    kept, rejected = conform_or_reject(df, GENRES, TEXT_LIMITS["genres"])
+    assert rows(kept) == [(1, "a")]
+    assert kept.schema == conform(df, GENRES).schema
+    assert rows(rejected.select("column_name", "reason", "value")) == sorted([
+        ("id", "does not cast", "x"), ("id", "NULL", None), ("genero", "too long", "y" * 26),
+        ("id", "does not cast", "z"), ("genero", "too long", "y" * 26),
+    ], key=repr)
+    record = rejected.filter("value = 'x'").first()["record"]
+    assert json.loads(record) == {"id": "x", "genero": "b", "extra": 1}
+    assert rows(conform_or_reject(df, GENRES)[0]) == [(1, "a"), (2, "y" * 26)]

@@ -105,6 +105,20 @@ def test_a_large_table_is_many_json_documents(spark, tmp_path, rows):
     assert rows(read_genres(spark, path)) == rows(df.select(F.col("id").cast("long"), "genero"))
 
 
+def test_equal_rows_go_over_many_documents_and_tasks(spark, tmp_path):
+    """A third of all rows are alike; no file holds more than its rows, no task more than its share."""
+    df = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "7").otherwise(F.col("id").cast("string")).alias("id"), F.lit("g").alias("genero")
+    )
+    write_json_array(df, str(tmp_path / "out"), document_rows=1000)
+    documents = [json.loads(p.read_text("utf-8")) for p in (tmp_path / "out").glob("part-*")]
+    assert max(map(len, documents)) == 1000 and sum(map(len, documents)) == 60_000
+    order = [*df.columns, "_number"]
+    dealt = df.withColumn("_number", F.monotonically_increasing_id()).repartitionByRange(8, *order)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * 60_000 / 8
+
+
 def test_an_empty_table_reads_back_as_no_genres(spark, tmp_path):
     path = str(tmp_path / "out")
     write_json_array(spark.createDataFrame([], "id string, genero string"), path)
