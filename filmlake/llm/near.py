@@ -16,9 +16,11 @@ five standard errors below the threshold. The rest is settled on the full sets.
 
 Equal sets are one class, so copies never meet each other. A band that few classes
 share gives all its pairs. In a band that many share, the most central class (hub) meets
-all others; those still in different groups then go on with new hubs, sixteen times as many
-each time, until no two groups of a band are left unsettled. So no link that
-matters to the groups is lost, and a large group costs few pairs per member.
+all others. The classes of bands that are then still in different groups have their shingles counted
+among themselves and put in order, the rarest first: two of them can be linked only if they share one of
+the first shingles, with enough behind it in both (``prefixes``). Pairs in reach that also share a band, and
+are not in one group yet, are candidates like the others. That bound is exact, so no link that
+matters to the groups is lost, and a large group of texts that are alike, but not enough, costs few pairs.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filmlake.llm.components import components
+from filmlake.llm.prefixes import first_pairs, in_common, ordered_shingles, pairs_across, postings_of, prefixes_of
 from filmlake.llm.steps import Scratch
-from filmlake.llm.words import chain, encoded, hashed, mix
+from filmlake.llm.words import chain, encoded, hashed, mix, shingles
 
 SHINGLE = 5
 PERCENT = 80
@@ -49,13 +52,6 @@ _PROBES = np.argsort(np.random.Generator(np.random.PCG64(7)).random((BUCKETS, BU
 _SIGNED = "doc_id {id}, tid long, n_shingles long, id1 long, id2 long, regs array<long>, bands array<long>"
 
 
-def shingles(words: np.ndarray, width: int) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of one text."""
-    if not len(words):
-        return words
-    return np.unique(chain(words, min(width, len(words))))
-
-
 def registers(hashes: np.ndarray) -> np.ndarray:
     """HyperMinHash registers of sorted distinct hashes, at least one."""
     bucket = (hashes >> np.uint64(_BITS)).astype(np.int64)
@@ -229,41 +225,34 @@ def near_duplicates(
         return scratch.keep(_links(pairs, sets, percent), f"links_{name}")
 
     first = asked.groupBy("band").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
-    first = scratch.keep(first, "chosen_0")
+    first = scratch.keep(first, "chosen")
     met = asked.join(first, "band").filter("node <> hub").select(*_paired("node", "hub"))
-    links = confirmed(pairs.select(*_paired("one", "two")).union(met), "0")
-    groups = components(links, scratch, "groups")
-    asked = asked.join(first.withColumnRenamed("hub", "node"), ["band", "node"], "left_anti")
-    step, hubs = 0, 4
-    while True:
-        step += 1
-        asked = asked.select("band", "node", "weight").join(groups, "node", "left")
-        asked = scratch.keep(
-            asked.select("band", "node", "weight", F.coalesce("root", "node").alias("root")), f"rooted_{step}"
-        )
-        sizes = asked.groupBy("band", "root").agg(F.count(F.lit(1)).alias("peers"))
-        sizes = scratch.keep(sizes, f"sizes_{step}")
-        unsettled = sizes.groupBy("band").agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1")
-        # hubs come from the groups with the fewest classes in the band
-        sizes = scratch.keep(sizes.join(unsettled.select("band"), "band"), f"unsettled_{step}")
-        if sizes.isEmpty():
-            break
-        asked = scratch.keep(asked.join(sizes, ["band", "root"]), f"asked_{step}")
-        chosen = scratch.keep(
-            asked.groupBy("band", F.pmod(F.xxhash64("node"), F.lit(hubs)).alias("slot"))
-            .agg(F.max(F.struct(-F.col("peers"), "weight", "node", "root")).alias("hub"))
-            .select("band", F.col("hub.node").alias("hub"), F.col("hub.root").alias("hub_root")),
-            f"chosen_{step}",
-        )
-        met = asked.join(chosen, "band").filter("root <> hub_root").select(*_paired("node", "hub"))
-        new = confirmed(met, str(step))
-        if not new.isEmpty():
-            links = scratch.keep(links.union(new).distinct(), f"all_{step}")
-            groups = components(links, scratch, f"groups_{step}")
-        asked = scratch.keep(
-            asked.join(chosen.withColumnRenamed("hub", "node"), ["band", "node"], "left_anti"), f"open_{step}"
-        )
-        hubs *= 16
+    links = confirmed(pairs.select(*_paired("one", "two")).union(met), "hubs")
+    groups = components(links, scratch, "hubs")
+
+    # bands whose classes are still in different groups, and the sets of these classes, rarest shingles first
+    rooted = scratch.keep(
+        asked.join(groups, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")), "asked"
+    )
+    unsettled = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    still = rooted.join(unsettled.select("band"), "band", "left_semi").select("node").distinct()
+    # a row that is there twice gives its set twice
+    open_sets = sets.join(still, "node").dropDuplicates(["node"])
+    prefixes = scratch.keep(prefixes_of(ordered_shingles(open_sets, percent), percent), "prefixes")
+    postings = postings_of(prefixes, scratch, "open")
+    bands_of = classes.select("node", "bands")
+
+    def banded_pairs(found: DataFrame) -> DataFrame:
+        """Of pairs in reach those that share a band."""
+        one, two = (bands_of.select(F.col("node").alias(x), F.col("bands").alias(f"bands{x}")) for x in ("a", "b"))
+        asked = in_common(found, prefixes, percent).select("a", "b")
+        return asked.join(one, "a").join(two, "b").filter(F.arrays_overlap("bandsa", "bandsb")).select("a", "b")
+
+    links = links.union(confirmed(banded_pairs(first_pairs(postings, percent)), "first"))
+    groups = components(links, scratch, "first")
+    across = confirmed(banded_pairs(pairs_across(postings, groups, percent, scratch, "open")), "across")
+    if not across.isEmpty():
+        groups = components(links.union(across), scratch, "across")
     rooted = scratch.keep(
         classes.select("id1", "id2", "node", "rep.doc_id")
         .join(groups, "node", "left")

@@ -38,9 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filmlake.llm.components import components
-from filmlake.llm.near import shingles
 from filmlake.llm.steps import Scratch
-from filmlake.llm.words import encoded, hashed, mix
+from filmlake.llm.words import encoded, hashed, mix, shingles
 
 SHINGLE = 3
 PERCENT = 90
@@ -216,6 +215,128 @@ def _pair():
     return [F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")]
 
 
+def _upto(more, percent: int):
+    """Of ``shared``, the shingles in a prefix that is to match in ``more`` places; ``alone`` others come first."""
+    least = F.ceil(F.col("n") * percent / 100).cast("int")
+    return F.least(F.size("shared"), F.greatest(F.lit(0), F.col("n") - least + more - F.col("alone")))
+
+
+def ordered_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """``node``, ``n``, ``alone`` and ``shared`` of sets ``own``, as ``prefixes_of`` takes them.
+
+    For sets that have been picked already, counted among themselves; those that can't be linked are left out.
+    """
+    tokens = sets.select("node", F.explode("own").alias("key"))
+    often = tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = (
+        tokens.join(often, "key")
+        .groupBy("node")
+        .agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("shared"))
+    )
+    return (
+        sets.select("node", F.size("own").alias("n"))
+        .join(shared, "node")
+        .withColumn("alone", F.col("n") - F.size("shared"))
+        .filter(_upto(F.lit(1), percent) > 0)
+    )
+
+
+def prefixes_of(ordered: DataFrame, percent: int) -> DataFrame:
+    """``node``, ``n``, ``alone``, ``matches`` and the ``keys`` of the prefix, for the least work."""
+    upto = lambda more: _upto(more, percent)
+    # the places that lead to candidates, and their whole sets compared with what is left of these
+    visits = lambda more: F.aggregate(F.slice("shared", F.lit(1), upto(more)), F.lit(0).cast("long"), lambda x, y: x + y["df"] - 1)
+    most = F.least(F.lit(MATCHES), F.ceil(F.col("n") * percent / 100).cast("int"))
+    cost = F.transform(
+        F.sequence(F.lit(1), most),
+        lambda more: F.struct((visits(more) * (1 + F.col("n") / more)).alias("cost"), more.alias("matches")),
+    )
+    return ordered.withColumn("matches", F.array_min(cost)["matches"]).select(
+        "node", "n", "alone", "matches",
+        F.transform(F.slice("shared", F.lit(1), upto(F.col("matches"))), lambda x: x["key"]).alias("keys"),
+    )
+
+
+def postings_of(prefixes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """A row for each prefix shingle and class that another class has too, with the list's ``size`` and ``hub``."""
+    listed = prefixes.select("node", "n", "alone", F.posexplode("keys").alias("at", "key")).select(
+        "key", "node", "n", (F.col("alone") + F.col("at")).alias("place")
+    )
+    lists = listed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.min(F.struct("place", "node", "n")).alias("hub")
+    )
+    lists = scratch.keep(lists.filter("size > 1"), f"lists_{name}")
+    return scratch.keep(listed.join(lists, "key"), f"postings_{name}")
+
+
+def first_pairs(postings: DataFrame, percent: int) -> DataFrame:
+    """All pairs of short lists, and in long ones those with the hub."""
+    in_reach = _in_reach(percent)
+    few = postings.filter(F.col("size") <= SMALL).drop("hub", "size")
+    pairs = (
+        few.alias("a")
+        .join(few.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & in_reach)
+        .select(*_pair())
+    )
+    hubs = (
+        postings.filter(F.col("size") > SMALL)
+        .select(F.struct("node", "n", "place").alias("a"), F.col("hub").alias("b"))
+        .filter("a.node <> b.node")
+        .filter(in_reach)
+        .select(*_pair())
+    )
+    return pairs.union(hubs)
+
+
+def pairs_across(postings: DataFrame, groups: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Pairs of long lists that are in different groups: those outside a list's largest group meet all others."""
+    rooted = scratch.keep(
+        postings.filter(F.col("size") > SMALL)
+        .select("key", "node", "n", "place")
+        .join(groups, "node", "left")
+        .select("key", "node", "n", "place", F.coalesce("root", "node").alias("root")),
+        f"rooted_{name}",
+    )
+    largest = (
+        rooted.groupBy("key", "root")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("groups"), F.max(F.struct("size", "root")).alias("largest"))
+        .filter("groups > 1")
+        .select("key", F.col("largest.root").alias("main"))
+    )
+    open_ = scratch.keep(rooted.join(largest, "key"), f"open_{name}")
+    return (
+        open_.filter("root <> main").alias("a")
+        .join(
+            open_.alias("b"),
+            (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & _in_reach(percent),
+        )
+        .select(*_pair())
+    )
+
+
+def in_common(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Of pairs, those that share as many prefix shingles as they must, with enough behind these."""
+    one, two = (
+        prefixes.select(
+            F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("alone").alias(f"alone{x}"),
+            F.col("matches").alias(f"m{x}"), F.col("keys").alias(f"k{x}"),
+        )
+        for x in ("a", "b")
+    )
+    behind = lambda x: F.col(f"n{x}") - F.col(f"alone{x}") - F.array_position(f"k{x}", F.element_at("common", -1))
+    return (
+        pairs.distinct()
+        .join(one, "a")
+        .join(two, "b")
+        .withColumn("common", F.array_intersect("ka", "kb"))
+        .filter(F.size("common") >= F.least("ma", "mb"))
+        .filter(F.size("common") + F.least(behind("a"), behind("b")) >= _needed(F.col("na") + F.col("nb"), percent))
+        .select("a", "b", "na", "nb")
+    )
+
+
 def jaccard_groups(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -272,11 +393,6 @@ def jaccard_groups(
     frequent_ones = F.transform(
         F.arrays_zip("hot_n", "hot"), lambda x: F.struct(x["hot_n"].alias("df"), x["hot"].alias("key"))
     )
-    # shingles up to a place; those that no other text holds come first
-    upto = lambda more: F.least(
-        F.size("shared"),
-        F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + more - F.col("alone")),
-    )
     ordered = scratch.keep(
         classes.select("node", "n", "places", frequent_ones.alias("hot"))
         .join(tokens.groupBy("node").agg(F.collect_list("token").alias("tokens")), "node", "left")
@@ -285,67 +401,15 @@ def jaccard_groups(
             F.array_sort(F.concat(F.coalesce("tokens", F.array().cast("array<struct<df:bigint,key:bigint>>")), "hot")).alias("shared"),
         )
         .withColumn("alone", F.col("places") - F.size("shared"))
-        .filter(upto(F.lit(1)) > 0),
+        .filter(_upto(F.lit(1), percent) > 0),
         "ordered",
     )
-    # the places that lead to candidates, and their whole sets compared with what is left of these
-    visits = lambda more: F.aggregate(F.slice("shared", F.lit(1), upto(more)), F.lit(0).cast("long"), lambda x, y: x + y["df"] - 1)
-    most = F.least(F.lit(MATCHES), F.ceil(F.col("n") * percent / 100).cast("int"))
-    cost = F.transform(
-        F.sequence(F.lit(1), most),
-        lambda more: F.struct((visits(more) * (1 + F.col("n") / more)).alias("cost"), more.alias("matches")),
-    )
-    prefixes = scratch.keep(
-        ordered.withColumn("matches", F.array_min(cost)["matches"]).select(
-            "node", "n", "alone", "matches",
-            F.transform(F.slice("shared", F.lit(1), upto(F.col("matches"))), lambda x: x["key"]).alias("keys"),
-        ),
-        "prefixes",
-    )
-    listed = prefixes.select("node", "n", "alone", F.posexplode("keys").alias("at", "key")).select(
-        "key", "node", "n", (F.col("alone") + F.col("at")).alias("place")
-    )
-    lists = listed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct("place", "node", "n")).alias("hub")
-    )
-    lists = scratch.keep(lists.filter("size > 1"), "lists")
-    postings = scratch.keep(listed.join(lists, "key"), "postings")
-    in_reach = _in_reach(percent)
-    few = postings.filter(F.col("size") <= SMALL).drop("hub", "size")
-    pairs = (
-        few.alias("a")
-        .join(few.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & in_reach)
-        .select(*_pair())
-    )
-    many = postings.filter(F.col("size") > SMALL)
-    hubs = (
-        many.select(F.struct("node", "n", "place").alias("a"), F.col("hub").alias("b"))
-        .filter("a.node <> b.node")
-        .filter(in_reach)
-        .select(*_pair())
-    )
+    prefixes = scratch.keep(prefixes_of(ordered, percent), "prefixes")
+    postings = postings_of(prefixes, scratch, "first")
 
     def linked(found: DataFrame, name: str) -> DataFrame:
         """Of pairs those that share enough of their prefixes, and then of their sets."""
-        one, two = (
-            prefixes.select(
-                F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("alone").alias(f"alone{x}"),
-                F.col("matches").alias(f"m{x}"), F.col("keys").alias(f"k{x}"),
-            )
-            for x in ("a", "b")
-        )
-        needed = _needed(F.col("na") + F.col("nb"), percent)
-        behind = lambda x: F.col(f"n{x}") - F.col(f"alone{x}") - F.array_position(f"k{x}", F.element_at("common", -1))
-        asked = scratch.keep(
-            found.distinct()
-            .join(one, "a")
-            .join(two, "b")
-            .withColumn("common", F.array_intersect("ka", "kb"))
-            .filter(F.size("common") >= F.least("ma", "mb"))
-            .filter(F.size("common") + F.least(behind("a"), behind("b")) >= needed)
-            .select("a", "b", "na", "nb"),
-            f"asked_{name}",
-        )
+        asked = scratch.keep(in_common(found, prefixes, percent), f"asked_{name}")
         nodes = asked.select(F.col("a").alias("node")).union(asked.select(F.col("b").alias("node"))).distinct()
         wanted = scratch.keep(
             classes.join(nodes, "node").select("node", F.col("rep.doc_id").alias("own_id"), F.col("rep.tid").alias("own_tid")),
@@ -368,29 +432,9 @@ def jaccard_groups(
             f"links_{name}",
         )
 
-    links = linked(pairs.union(hubs), "first")
+    links = linked(first_pairs(postings, percent), "first")
     groups = components(links, scratch, "first")
-    rooted = scratch.keep(
-        many.select("key", "node", "n", "place")
-        .join(groups, "node", "left")
-        .select("key", "node", "n", "place", F.coalesce("root", "node").alias("root")),
-        "rooted",
-    )
-    # those outside the largest group of their list meet all that are not in their own
-    largest = (
-        rooted.groupBy("key", "root")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("groups"), F.max(F.struct("size", "root")).alias("largest"))
-        .filter("groups > 1")
-        .select("key", F.col("largest.root").alias("main"))
-    )
-    open_ = scratch.keep(rooted.join(largest, "key"), "open")
-    across = (
-        open_.filter("root <> main").alias("a")
-        .join(open_.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & in_reach)
-        .select(*_pair())
-    )
+    across = pairs_across(postings, groups, percent, scratch, "first")
     more = linked(across, "across")
     if not more.isEmpty():
         groups = components(links.union(more), scratch, "across")

@@ -121,3 +121,10 @@ def within(bounds: np.ndarray, width: int, n: int) -> tuple[np.ndarray, np.ndarr
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n]
     inside = np.arange(n) + width <= bounds[1:][text]
     return np.flatnonzero(inside), text[inside]
+
+
+def shingles(words: np.ndarray, width: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of one text."""
+    if not len(words):
+        return words
+    return np.unique(chain(words, min(width, len(words))))
