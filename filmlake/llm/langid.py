@@ -20,7 +20,6 @@ training texts. Without training texts all is ``und``. Equal texts get equal ans
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -42,7 +41,6 @@ FEW = 10_000
 SLOT_BITS = 20
 HASHES = 3
 
-_LETTER = re.compile(r"[^\W\d_]")
 _KEEP = np.full(256, 32, dtype=np.uint8)
 _KEEP[97:123] = np.arange(97, 123)
 _KEEP[128:] = np.arange(128, 256)
@@ -177,7 +175,8 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own, texts = shared.value, batch["_text"].tolist()
-            named = np.array([bool(x and own.languages and _LETTER.search(x)) for x in texts], dtype=bool)
+            # letters as Unicode has them, so number signs are none
+            named = np.array([bool(x and own.languages and any(map(str.isalpha, x))) for x in texts], dtype=bool)
             out = batch[rest].copy()
             if own.languages:
                 shares = own.shares(texts) * named[:, None]

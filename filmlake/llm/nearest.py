@@ -11,9 +11,11 @@ distance found. In a task a cell, or a part of a large one, is searched by its o
 after leaf by projected distance, every vector of a leaf verified by its true distance, until
 the test holds. Equal vectors all share a leaf distance of nothing, so ties are settled by id.
 
-Vectors that are NULL, empty, zero, hold NULL, NaN or infinite components, or whose length isn't
-the most frequent one take no part; neither do NULL ids. Repeated ids are separate rows, but a
-query has no row of its own id as neighbour. With fewer candidates than asked for, all are given.
+Vectors that are NULL, empty, zero, or hold NULL, NaN or infinite components take no part; neither do
+NULL ids. Vectors are compared with those of their length; cells are made for the most frequent length, and
+each other one is a cell of its own, searched in parts. Repeated ids are separate rows as candidates, but a
+query has no row of its own id as neighbour; a query's repeated row asks once, and two vectors of
+one id are two queries, each with ranks of its own. With fewer candidates than asked for, all are given.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ LEAF_ROWS = 64
 # queries searched together in a task
 TOGETHER = 256
 
-_FOUND = "query_id long, vec_id long, score double"
+_FOUND = "query_id long, query long, vec_id long, score double"
 
 
 def directions(length: int) -> np.ndarray:
@@ -127,7 +129,7 @@ def _searcher(k: int):
                 padded[i, : len(rows)] = rows
             for first in range(0, len(asked), TOGETHER):
                 part = asked.iloc[first : first + TOGETHER]
-                own, name = _matrix(part["vector"]), part["query_id"].to_numpy()
+                own, name, query = _matrix(part["vector"]), part["query_id"].to_numpy(), part["query"].to_numpy()
                 limit = part["reach"].to_numpy()
                 far = outside(own @ project, low, high)
                 order = np.argsort(far, axis=1, kind="stable")
@@ -150,10 +152,12 @@ def _searcher(k: int):
                     best[live] = np.take_along_axis(both, top, axis=1)
                     who[live] = np.take_along_axis(names, top, axis=1)
                 hit = np.isfinite(best)
+                times = hit.sum(axis=1)
                 found.append(pd.DataFrame({
-                    "query_id": np.repeat(name, hit.sum(axis=1)), "vec_id": who[hit], "score": best[hit],
+                    "query_id": np.repeat(name, times), "query": np.repeat(query, times),
+                    "vec_id": who[hit], "score": best[hit],
                 }))
-        empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        empty = pd.DataFrame({"query_id": [], "query": [], "vec_id": [], "score": []})
         return pd.concat(found) if found else empty
 
     return run
@@ -164,10 +168,7 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.filter(F.col(key).isNotNull() & F.col(vector).isNotNull())
     rows = rows.filter(~bad & F.exists(vector, lambda x: x != 0))
-    rows = rows.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
-    lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"))
-    most = lengths.orderBy(F.desc("n"), "length").first()
-    return rows.filter(F.size("vector") == (most.length if most else 0))
+    return rows.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
 
 
 def search(
@@ -180,7 +181,10 @@ def search(
     scratch = Scratch(vectors.sparkSession, "nearest")
     rows = usable(vectors, key, vector)
     total = rows.count()
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+    lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+    most = lengths.orderBy(F.desc("n"), "length").first()
+    usual = F.size("vector") == (most.length if most else 0)
+    sample = rows.filter(usual).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
     points = _matrix(sample["vector"]) if len(sample) else np.zeros((1, 1))
     project = directions(points.shape[1])
     # as many cells as whole ones take, and a sample that has enough points in each
@@ -190,12 +194,24 @@ def search(
     def assign(batches):
         for batch in batches:
             if len(batch):
-                batch["cell"] = cells.of(_matrix(batch["vector"]) @ project)
+                sizes = batch["vector"].map(len).to_numpy()
+                own = sizes == len(project)
+                # each other length is a cell by itself
+                cell = -sizes.astype(np.int64)
+                if own.any():
+                    cell[own] = cells.of(_matrix(batch["vector"][own]) @ project)
+                batch["cell"] = cell
                 yield batch
 
     kind = rows.schema["vector"].dataType.simpleString()
     index = scratch.keep(rows.mapInPandas(assign, f"vec_id long, vector {kind}, cell long"), "index")
-    queries = index.filter(is_query).withColumnRenamed("vec_id", "query_id")
+    # a row that is there again asks the same; other vectors of its id ask for themselves
+    queries = (
+        index.filter(is_query)
+        .dropDuplicates(["vec_id", "vector"])
+        .withColumnRenamed("vec_id", "query_id")
+        .withColumn("query", F.xxhash64("query_id", "vector"))
+    )
 
     def found(visits: DataFrame, name: str) -> DataFrame:
         """Nearest rows of each visit, in parts of a cell and of its visits that fit a task."""
@@ -216,14 +232,14 @@ def search(
         )
         asked = visits.join(parts, "cell").select(
             "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-            F.pmod(F.xxhash64("query_id"), "turns").cast("int").alias("turn"), "query_id", "vector", "reach",
+            F.pmod(F.xxhash64("query"), "turns").cast("int").alias("turn"), "query_id", "query", "vector", "reach",
         )
         by = ["cell", "part", "turn"]
         out = data.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(_searcher(k), _FOUND)
         return scratch.keep(out, f"found_{name}")
 
     own = found(queries.withColumn("reach", F.lit(float("inf"))), "own")
-    nearest = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    nearest = Window.partitionBy("query_id", "query").orderBy("score", "vec_id")
     reach = own.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") == k)
 
     def elsewhere(batches):
@@ -239,10 +255,11 @@ def search(
                 yield out
 
     more = (
-        queries.join(reach.select("query_id", F.col("score").alias("reach")), "query_id", "left")
+        queries.filter("cell >= 0")
+        .join(reach.select("query_id", "query", F.col("score").alias("reach")), ["query_id", "query"], "left")
         .fillna(float("inf"), ["reach"])
-        .select("query_id", "vector", "cell", "reach")
-        .mapInPandas(elsewhere, f"query_id long, vector {kind}, cell long, reach double")
+        .select("query_id", "query", "vector", "cell", "reach")
+        .mapInPandas(elsewhere, f"query_id long, query long, vector {kind}, cell long, reach double")
     )
     both = own.union(found(more, "more"))
     return (

@@ -61,7 +61,8 @@ class Words:
             # signs after a word are a unit of their own; letters of ASCII are
             # lower-cased by the tokenizer whatever stands around them
             word = piece.rstrip(SIGNS)
-            if word.isalpha():
+            # lower-casing may put marks after a letter, which the tokenizer takes together with signs
+            if word.isalpha() and word.lower().isalpha():
                 composed.append((piece, word.lower() if word.isascii() else word, piece[len(word) :]))
             else:
                 known[piece] = self._encoded(piece).tobytes() if piece else b""

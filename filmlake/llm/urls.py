@@ -1,11 +1,12 @@
 """URL verdicts from rules and, beyond them, from the reputation of hosts.
 
-Reputation. Every page has an outcome, 1 if it was blocked and 0 if not. A host's rate is
+Reputation. Pages that a rule judges are the labelled ones, with outcome 1 if it blocks them and 0 if it
+allows them; other pages say nothing of their host. A host's rate is
 shrunk to that of its registered domain, the domain's to that of its suffix, and that to
-the rate of all pages. Each level's prior is a beta distribution whose strength comes from
+the rate of all labelled pages; a host without any has the rate of the levels above. Each level's prior is a beta distribution whose strength comes from
 the data: the spread of the rates beyond what chance gives (method of moments). A page
-without a rule is blocked when the lower bound of its host's posterior exceeds a limit, so
-a host of few pages is never blocked on thin evidence.
+without a rule is blocked when the lower bound of its host's posterior exceeds a limit. A host
+of few labelled pages goes by its domain and suffix, as far as the labelled pages show these to be alike.
 
 NULL urls and urls without ``://`` have an empty host and path and are judged like a host
 of their own. Repeated pages count each; ties cannot occur, since rules differ in length
@@ -93,12 +94,12 @@ def domain_and_suffix(name: str) -> dict[str, Column]:
 
 def _strength(level: DataFrame) -> float:
     """Strength of the beta prior ``mean`` from the spread of ``bad / n`` around it."""
-    mean, rate = F.col("mean"), F.col("bad") / F.col("n")
+    mean, rate = F.col("mean"), F.try_divide("bad", "n")
     row = level.agg(
         F.sum(F.col("n") * (rate - mean) * (rate - mean)).alias("seen"),
         F.sum(F.col("n") * mean * (1 - mean)).alias("chance"),
         F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("k"),
+        F.count_if(F.col("n") > 0).alias("k"),
     ).first()
     low, high = STRENGTHS
     if not row.n or not row.chance:
@@ -112,7 +113,7 @@ def _shrunk(level: DataFrame, strength: float) -> Column:
 
 
 def reputations(hosts: DataFrame) -> DataFrame:
-    """``host`` and ``bound`` for a table of ``host``, ``n`` pages and ``bad`` ones among them."""
+    """``host`` and ``bound`` for a table of ``host``, ``n`` labelled pages and ``bad`` ones among them."""
     scratch = Scratch(hosts.sparkSession, "urls")
     hosts = scratch.keep(hosts.withColumn("name", named_host("host")).withColumns(domain_and_suffix("name")), "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
@@ -139,7 +140,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, key: str = "page_id",
         longest_rule(rules, "host", "path", "verdict").alias("ruled"),
     )
     hosts = seen.groupBy("host").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("ruled") == "block").alias("bad")
+        F.count("ruled").alias("n"), F.count_if(F.col("ruled") == "block").alias("bad")
     )
     own = F.when(F.col("bound") > LIMIT, "block").otherwise("allow")
     return seen.join(reputations(hosts), "host").select(
@@ -162,7 +163,7 @@ WITH seen AS (
         WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
     FROM seen
 ), counted AS (
-    SELECT host, count(*) AS n, count(*) FILTER (rule IN ('net/', 'example.com/de/')) AS bad,
+    SELECT host, count(rule) AS n, count(*) FILTER (rule IN ('net/', 'example.com/de/')) AS bad,
         regexp_replace(regexp_replace(host, '(?s)^.*@', ''), ':[0-9]*$', '') AS name
     FROM ruled GROUP BY host
 ), labelled AS (
@@ -179,19 +180,19 @@ WITH seen AS (
 suffixes AS (
     SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(mean) AS mean FROM hosts, overall GROUP BY suffix
 ), s1 AS (
-    SELECT sum(n) * sum(n * (bad / n - mean) ** 2) / sum(n * mean * (1 - mean)) - count(*) AS e, sum(n) - count(*) AS d FROM suffixes
+    SELECT sum(n) * sum(n * (bad / nullif(n, 0) - mean) ** 2) / sum(n * mean * (1 - mean)) - count(*) FILTER (n > 0) AS e, sum(n) - count(*) FILTER (n > 0) AS d FROM suffixes
 ), m1 AS (SELECT CASE WHEN e <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, d / e - 1)) END AS m FROM s1),
 domains AS (
     SELECT h.suffix, h.domain, sum(h.n) AS n, sum(h.bad) AS bad, any_value((s.bad + m * s.mean) / (s.n + m)) AS mean
     FROM hosts h JOIN suffixes s USING (suffix), m1 GROUP BY h.suffix, h.domain
 ), s2 AS (
-    SELECT sum(n) * sum(n * (bad / n - mean) ** 2) / sum(n * mean * (1 - mean)) - count(*) AS e, sum(n) - count(*) AS d FROM domains
+    SELECT sum(n) * sum(n * (bad / nullif(n, 0) - mean) ** 2) / sum(n * mean * (1 - mean)) - count(*) FILTER (n > 0) AS e, sum(n) - count(*) FILTER (n > 0) AS d FROM domains
 ), m2 AS (SELECT CASE WHEN e <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, d / e - 1)) END AS m FROM s2),
 known AS (
     SELECT h.host, h.n, h.bad, (d.bad + m * d.mean) / (d.n + m) AS mean
     FROM hosts h JOIN domains d USING (suffix, domain), m2
 ), s3 AS (
-    SELECT sum(n) * sum(n * (bad / n - mean) ** 2) / sum(n * mean * (1 - mean)) - count(*) AS e, sum(n) - count(*) AS d FROM known
+    SELECT sum(n) * sum(n * (bad / nullif(n, 0) - mean) ** 2) / sum(n * mean * (1 - mean)) - count(*) FILTER (n > 0) AS e, sum(n) - count(*) FILTER (n > 0) AS d FROM known
 ), m3 AS (SELECT CASE WHEN e <= 0 THEN 1000.0 ELSE least(1000.0, greatest(1.0, d / e - 1)) END AS m FROM s3),
 posterior AS (SELECT host, (bad + m * mean) / (n + m) AS p, n + m AS size FROM known, m3)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
