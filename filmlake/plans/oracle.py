@@ -106,16 +106,17 @@ EXTRACTS = " UNION ALL ".join(
 
 
 def mean(value: str) -> str:
-    return f"avg(CAST({value} AS DOUBLE))"
+    """A mean whose sum carries its errors along, as a plain one depends on the order."""
+    return f"favg(CAST({value} AS DOUBLE))"
 
 
 def weighted(value: str, weight: str) -> str:
-    return f"sum(CAST({value} AS DOUBLE) * {weight}) / sum({weight})"
+    return f"fsum(CAST({value} AS DOUBLE) * {weight}) / sum({weight})"
 
 
-def settled(number: str, digits: int) -> str:
-    """Rounded to four digits more first, which takes away the noise of the order of a sum."""
-    return f"round(round({number}, {digits + 4}), {digits}) + CAST(0 AS DOUBLE)"  # no negative zero
+def rounded(number: str, digits: int) -> str:
+    """Rounded half up on the shortest text of the number."""
+    return f"CAST(round(CAST(CAST({number} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
 
 
 YEAR = "CAST(year(data_lancamento) AS INTEGER)"
@@ -123,20 +124,20 @@ YEAR = "CAST(year(data_lancamento) AS INTEGER)"
 YEARLY = f"""
 yearly AS (
     SELECT {YEAR} AS ano, genero, count(id) AS filmes_por_genero,
-           {settled(weighted("nota_media", "total_votos"), 2)} AS media_ponderada_anual,
-           {settled(mean("nota_media"), 2)} AS media_simples_anual
+           {rounded(weighted("nota_media", "total_votos"), 2)} AS media_ponderada_anual,
+           {rounded(mean("nota_media"), 2)} AS media_simples_anual
     FROM by_genre WHERE total_votos > 0 GROUP BY 1, 2
 )"""
 
 FILMS_PER_YEAR = f"SELECT count(*) AS numero_filmes, {YEAR} AS ano FROM films GROUP BY 2"
 
 POPULARITY_BY_YEAR = f"""
-SELECT {YEAR} AS ano, {settled(mean("popularidade"), 2)} AS media_popularidade,
+SELECT {YEAR} AS ano, {rounded(mean("popularidade"), 2)} AS media_popularidade,
        count(*) AS qtd_filmes
 FROM films GROUP BY 1"""
 
 POPULARITY_BY_GENRE = f"""
-SELECT genero, {settled(mean("popularidade"), 2)} AS media_popularidade, count(*) AS qtd_filmes
+SELECT genero, {rounded(mean("popularidade"), 2)} AS media_popularidade, count(*) AS qtd_filmes
 FROM by_genre GROUP BY genero"""
 
 DIFFERENCE = f"""{weighted("media_ponderada_anual", "filmes_por_genero")} - {mean("media_simples_anual")}"""
@@ -146,10 +147,10 @@ SELECT genero,
        CAST(sum(filmes_por_genero) AS BIGINT) AS numero_filmes,
        min(ano) AS ano_inicial,
        max(ano) AS ano_final,
-       {settled(weighted("media_ponderada_anual", "filmes_por_genero"), 2)}
+       {rounded(weighted("media_ponderada_anual", "filmes_por_genero"), 2)}
            AS media_ponderada_geral,
-       {settled(mean("media_simples_anual"), 2)} AS media_simples_geral,
-       {settled(DIFFERENCE, 2)} AS diferenca_medias
+       {rounded(mean("media_simples_anual"), 2)} AS media_simples_geral,
+       {rounded(DIFFERENCE, 2)} AS diferenca_medias
 FROM yearly GROUP BY genero"""
 
 TOP_FILMS = """
@@ -166,7 +167,7 @@ FROM (
     SELECT *, CAST(rank() OVER (PARTITION BY ano ORDER BY media_nota_ano DESC NULLS LAST)
                    AS INTEGER) AS rank_do_genero
     FROM (
-        SELECT {YEAR} AS ano, genero, {settled(mean("nota_media"), 1)} AS media_nota_ano
+        SELECT {YEAR} AS ano, genero, {rounded(mean("nota_media"), 1)} AS media_nota_ano
         FROM by_genre GROUP BY 1, 2
     )
 ) WHERE rank_do_genero <= 3"""
@@ -212,7 +213,7 @@ def contents(name: str, labels: str, number: str, result: str) -> str:
 ORACLE: dict[str, str] = {
     "films_per_year": f"WITH {FILMS} {FILMS_PER_YEAR}",
     "votes_by_language": f"""WITH {FILMS}
-        SELECT {settled(mean("total_votos"), 2)} AS media_votos, idioma_original
+        SELECT {rounded(mean("total_votos"), 2)} AS media_votos, idioma_original
         FROM films GROUP BY idioma_original""",
     "popularity_by_year": f"WITH {FILMS} {POPULARITY_BY_YEAR}",
     "popularity_by_genre": f"WITH {BY_GENRE} {POPULARITY_BY_GENRE}",

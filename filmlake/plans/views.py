@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmlake.functions.measures import rounded_mean
 from filmlake.operators.aggregate import (
     count_per,
     mean_per,
+    means_per,
     rating_pattern,
     row_counts,
     text_per_group,
@@ -95,9 +95,7 @@ def top_genres_by_year(by_genre: DataFrame, k: int = TOP) -> DataFrame:
 
     A year has at most one row per genre here, so a plain window will do.
     """
-    yearly = by_genre.groupBy(_release_year(), "genero").agg(
-        rounded_mean("nota_media", 1).alias("media_nota_ano")
-    )
+    yearly = means_per(by_genre, [_release_year(), F.col("genero")], "nota_media", "media_nota_ano", digits=1)
     return ranked_top(yearly, ["ano"], "media_nota_ano", k, rank="rank_do_genero").select(
         "ano", "rank_do_genero", "genero", "media_nota_ano"
     )

@@ -10,8 +10,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from filmlake.functions.measures import mean, rounded_mean, weighted_mean
 from filmlake.operators.aggregate import (
+    grouped_sums,
     mean_per,
     rating_pattern,
     row_counts,
@@ -20,56 +20,91 @@ from filmlake.operators.aggregate import (
 )
 
 
+def mean_of(df, digits=2):
+    return mean_per(df, F.lit(1).alias("g"), "x", "m", digits).first()["m"]
+
+
+def sum_of(df):
+    return grouped_sums(df, [F.lit(1).alias("g")], {"s": F.col("x")}).first()["s"]
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "x double")
+
+
 def test_mean_leaves_nulls_out(spark):
-    df = spark.createDataFrame([(1.0,), (None,), (2.0,)], "x double")
-    assert df.agg(mean("x")).first()[0] == 1.5
-    assert df.filter("x is null").agg(mean("x")).first()[0] is None
+    df = frame(spark, [1.0, None, 2.0])
+    assert mean_of(df) == 1.5
+    assert mean_of(df.filter("x is null")) is None
+    assert sum_of(df.filter("x is null")) is None
 
 
 def test_weights_that_add_up_to_nothing(spark):
-    df = spark.createDataFrame([(5.0, 0), (6.0, 0)], "x double, w long")
-    assert df.agg(weighted_mean("x", "w")).first()[0] is None
+    yearly = spark.createDataFrame(
+        [("X", 0, 2000, 5.0, 5.0)],
+        "genero string, filmes_por_genero long, ano int, media_ponderada_anual double, media_simples_anual double",
+    )
+    row = rating_pattern(yearly).first()
+    assert (row["media_ponderada_geral"], row["media_simples_geral"], row["diferenca_medias"]) == (None, 5.0, None)
 
 
-def test_values_beyond_a_long(spark):
-    df = spark.createDataFrame([(1e15,), (-4e12,), (0.25,)], "x double")
-    assert df.agg(mean("x")).first()[0] == pytest.approx((1e15 - 4e12 + 0.25) / 3)
+@pytest.mark.parametrize("values", [(1.0, math.nan), (1.0, math.inf), (math.inf, -math.inf), (-math.inf, 2.0), (math.nan, math.inf)])
+def test_values_that_are_no_numbers(spark, values):
+    df = frame(spark, values)
+    assert str(sum_of(df)) == str(df.agg(F.sum("x")).first()[0])
 
 
-@pytest.mark.parametrize(
-    "values", [(1.0, math.nan), (1.0, math.inf), (1e-10, 3e-10), (1e20, 1.0), (-math.inf, 2.0)]
+EXTREMES = [5e-324, 2.2250738585072014e-308, 1e-300, 1e300, -1e300, 8e307, 0.0, -0.0, 1.0, 0.1, 1e15, -4e12, 0.25, 2.0**53 + 2]
+
+
+@settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
-def test_means_cut_no_value(spark, values):
-    df = spark.createDataFrame([(v, 1) for v in values], "x double, w long")
-    plain, weighted, want = df.agg(mean("x"), weighted_mean("x", "w"), F.avg("x")).first()
-    assert str(plain) == str(weighted) == str(want)
+@given(
+    values=st.lists(
+        st.one_of(st.sampled_from(EXTREMES), st.floats(-1e6, 1e6), st.floats(-1e300, 1e300)), min_size=1, max_size=40
+    ),
+    parts=st.integers(1, 6),
+)
+def test_sums_are_exact_whatever_the_split(spark, values, parts):
+    """Equal to the rounded sum of fractions, for any order and split."""
+    want = math.fsum(values)
+    for order in (values, values[::-1], sorted(values)):
+        assert sum_of(frame(spark, order).repartition(parts)) == pytest.approx(want, rel=1e-15, abs=5e-324)
+    assert len({sum_of(frame(spark, order).repartition(n)) for order in (values, values[::-1]) for n in (1, parts)}) == 1
+
+
+def test_sums_of_many_values_that_cancel(spark):
+    values = [1e16, 1.0, -1e16, 0.1] * 500 + [3.0**i for i in range(-200, 200)]
+    assert sum_of(frame(spark, values).repartition(7)) == math.fsum(values)
+
+
+def test_every_power_of_two_is_exact(spark):
+    values = [2.0**i for i in range(-1074, 1000)]
+    got = grouped_sums(frame(spark, values), [F.col("x")], {"s": F.col("x")}).collect()
+    assert all(r["x"] == r["s"] for r in got) and len(got) == len(values)
 
 
 def test_mean_at_the_rounding_boundary_does_not_depend_on_order(spark):
     values = [6.1, 6.0, 5.9, 6.2, 6.05, 0.1, 12.0] * 50
-    results = set()
-    for order in (values, sorted(values), sorted(values, reverse=True)):
-        df = spark.createDataFrame([(v,) for v in order], "x double").repartition(7)
-        results.add(df.agg(rounded_mean("x", 6)).first()[0])
+    results = {mean_of(frame(spark, order).repartition(7), 6) for order in (values, sorted(values), values[::-1])}
     assert results == {round(float(sum(Fraction(str(v)) for v in values) / len(values)), 6)}
 
 
-@settings(
-    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
-)
-@given(
-    cents=st.lists(st.integers(-(10**6), 10**6), min_size=1, max_size=40),
-    parts=st.integers(1, 6),
-)
-def test_rounded_mean_does_not_depend_on_the_split(spark, cents, parts):
-    df = spark.createDataFrame([(c / 1000,) for c in cents], "x double").repartition(parts)
-    one = df.repartition(1).agg(rounded_mean("x")).first()[0]
-    assert df.agg(rounded_mean("x")).first()[0] == one
+def test_a_mean_is_rounded_once(spark):
+    """Half up on the printed number; just below a half goes down however close it is."""
+    assert mean_of(frame(spark, [2.675])) == 2.68
+    assert mean_of(frame(spark, [1.005])) == 1.01
+    assert mean_of(frame(spark, [0.12499999])) == 0.12
+    assert mean_of(frame(spark, [0.124999999999])) == 0.12
+    assert mean_of(frame(spark, [0.125])) == 0.13
 
 
-def test_rounding_is_half_up_on_the_printed_number(spark):
-    df = spark.createDataFrame([(2.675,), (1.005,)], "x double")
-    assert [r[0] for r in df.groupBy("x").agg(rounded_mean("x").alias("m")).select("m").orderBy("m").collect()] == [1.01, 2.68]
+def test_a_group_that_fills_the_table_is_a_few_rows_a_task(spark, plan):
+    df = spark.range(0, 100_000, 1, 8).select(F.lit("hot").alias("g"), (F.col("id") / 7).alias("x"))
+    text = plan(mean_per(df, F.col("g"), "x", "m"))
+    assert "partial_sum" in text and "SortAggregate" not in text
+    assert mean_per(df, F.col("g"), "x", "m").first()["m"] == round(99_999 / 14, 2)
 
 
 def by_genre(spark, films):
