@@ -189,6 +189,9 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
+    # sketches are not needed again but for one of each class
+    texts = scratch.keep(signed.select("doc_id", "tid", "n_shingles", "id1", "id2"), "texts")
+    scratch.drop("signed")
     banded = classes.select("node", F.explode("bands").alias("band"))
     shared = scratch.keep(
         banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "shared"
@@ -261,7 +264,7 @@ def near_duplicates(
     )
     least = scratch.keep(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     named = scratch.keep(rooted.join(least, "root").select("id1", "id2", "component_id"), "named")
-    scratch.drop("members", "sets")
-    plain = signed.filter("n_shingles = 0").select("doc_id", "tid", "n_shingles", F.col("doc_id").alias("component_id"))
-    grouped = signed.filter("n_shingles > 0").join(named, ["id1", "id2"]).select("doc_id", "tid", "n_shingles", "component_id")
+    scratch.leave("texts", "named")
+    plain = texts.filter("n_shingles = 0").select("doc_id", "tid", "n_shingles", F.col("doc_id").alias("component_id"))
+    grouped = texts.filter("n_shingles > 0").join(named, ["id1", "id2"]).select("doc_id", "tid", "n_shingles", "component_id")
     return grouped.union(plain).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -442,6 +442,7 @@ def jaccard_groups(
     rooted = rooted.select("id1", "id2", "doc_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = scratch.keep(rooted.join(least, "root").select("id1", "id2", "component_id"), "named")
+    scratch.leave("found", "named")
     size = F.col("n").cast("long").alias("n_shingles")
     grouped = texts.filter("n > 0").join(named, ["id1", "id2"]).select("doc_id", size, "component_id")
     plain = texts.filter("n = 0").select("doc_id", size, F.col("doc_id").alias("component_id"))
