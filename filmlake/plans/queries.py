@@ -213,12 +213,11 @@ def dedupe_lines(spark: SparkSession, folder: str) -> DataFrame:
 def dedupe_any(spark: SparkSession, folder: str) -> DataFrame:
     """Any one line per order: how many are kept of each, and how many of these are whole lines of the input."""
     lines = star.table(spark, folder, "lineitem")
-    kept = clean.keep_any(lines, ["l_orderkey"]).withColumn("kept", F.lit(1))
-    both = kept.unionByName(lines.withColumn("kept", F.lit(0)))
-    by_line = both.groupBy(*lines.columns).agg(F.sum("kept").alias("kept"), F.count_if(F.col("kept") == 0).alias("given"))
-    return by_line.groupBy("l_orderkey").agg(
-        F.sum("kept").alias("kept"), F.sum(F.when(F.col("given") > 0, F.col("kept")).otherwise(0)).alias("whole")
-    )
+    row = F.xxhash64(*lines.columns).alias("row")
+    kept = clean.keep_any(lines, ["l_orderkey"]).select("l_orderkey", row)
+    given = lines.select(F.col("l_orderkey").alias("order"), row.alias("line")).distinct()
+    found = kept.join(given, (F.col("l_orderkey") == F.col("order")) & (F.col("row") == F.col("line")), "left")
+    return found.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("kept"), F.count("line").alias("whole"))
 
 
 @query
