@@ -17,9 +17,13 @@ from filmlake.llm.steps import Scratch
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # a text is rejected if fewer of its n-grams belong to the language it is taken for
 KNOWN = 0.3
+# documents that a Python worker takes at once
+BATCH_ROWS = 1000
 
 
 def _documents(docs: DataFrame) -> DataFrame:
+    """The stage's input; Python gets it in small batches, so that a worker holds few texts at a time."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return docs.select(*(docs[name] for name in COLUMNS))
 
 
