@@ -43,6 +43,18 @@ def directions(length: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(11)).standard_normal((length, DIMS))
 
 
+def projected(vectors: np.ndarray, project: np.ndarray) -> np.ndarray:
+    """Row by row the same sums in the same order, so that equal vectors have equal projections.
+
+    A matrix product may add a row's terms in another order where the number of rows differs; equal
+    vectors would then lie a little apart, and ties at distance 0 could be missed.
+    """
+    out = np.zeros((len(vectors), project.shape[1]))
+    for i, row in enumerate(project):
+        out += vectors[:, i, None] * row
+    return out
+
+
 def chi_square(x: np.ndarray) -> np.ndarray:
     """Distribution function for ``DIMS`` degrees of freedom, an even number."""
     half, term, total = x / 2, np.ones_like(x), np.ones_like(x)
@@ -120,7 +132,7 @@ def _searcher(k: int):
         if len(data) and len(asked):
             vectors, ids = _matrix(data["vector"]), data["vec_id"].to_numpy()
             project = directions(vectors.shape[1])
-            points = vectors @ project
+            points = projected(vectors, project)
             leaves = split(points, LEAF_ROWS)
             low = np.array([points[rows].min(axis=0) for rows in leaves])
             high = np.array([points[rows].max(axis=0) for rows in leaves])
@@ -131,7 +143,7 @@ def _searcher(k: int):
                 part = asked.iloc[first : first + TOGETHER]
                 own, name, query = _matrix(part["vector"]), part["query_id"].to_numpy(), part["query"].to_numpy()
                 limit = part["reach"].to_numpy()
-                far = outside(own @ project, low, high)
+                far = outside(projected(own, project), low, high)
                 order = np.argsort(far, axis=1, kind="stable")
                 best = np.full((len(own), k), np.inf)
                 who = np.full((len(own), k), np.iinfo(np.int64).max)
@@ -189,7 +201,7 @@ def search(
     project = directions(points.shape[1])
     # as many cells as whole ones take, and a sample that has enough points in each
     depth = max(0, int(np.ceil(np.log2(max(1, min(total / CELL_ROWS, len(sample) / 16))))))
-    cells = Cells(points @ project, depth)
+    cells = Cells(projected(points, project), depth)
 
     def assign(batches):
         for batch in batches:
@@ -199,7 +211,7 @@ def search(
                 # each other length is a cell by itself
                 cell = -sizes.astype(np.int64)
                 if own.any():
-                    cell[own] = cells.of(_matrix(batch["vector"][own]) @ project)
+                    cell[own] = cells.of(projected(_matrix(batch["vector"][own]), project))
                 batch["cell"] = cell
                 yield batch
 
@@ -245,7 +257,7 @@ def search(
     def elsewhere(batches):
         for batch in batches:
             if len(batch):
-                at = _matrix(batch["vector"]) @ project
+                at = projected(_matrix(batch["vector"]), project)
                 far = cells.distances(at)
                 go = ~settled(far, batch["reach"].to_numpy()[:, None])
                 go[np.arange(len(batch)), batch["cell"].to_numpy()] = False
