@@ -92,6 +92,29 @@ def test_a_third_of_all_rows_tied_in_one_group(spark, setting, threshold):
     assert got.count() == ranking.ranked_top(df, ["g"], "v", 3).count()
 
 
+def test_candidates_are_counted_without_a_hash_map(spark, plan):
+    """Over many small groups nearly every row is a candidate, and a map of them took most of a task's memory."""
+    df = spark.range(100).select((F.col("id") % 40).alias("g"), F.col("id").alias("line"), (F.col("id") % 7).alias("v"))
+    found = ranking.top_with_ties(df, ["g"], "v", 2)
+    text = plan(found)
+    assert "Aggregate" not in text
+    # one sort before the shuffle and one after it, for each side; one for the places of all parts
+    assert text.count("+- Sort [") <= 5
+    expected = ranking.ranked_top(df, ["g"], "v", 2)
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+
+
+@pytest.mark.parametrize("k", [1, 2, 5, 2000])
+def test_places_of_odd_values_and_whole_copies(spark, k):
+    """Zeros of both signs are one value, so are all NaN and all NULL; rows may come many times."""
+    values = [0.0, -0.0, float("nan"), None, 1.5, float("inf")]
+    data = [(g, v, i % 2) for i in range(9) for g in ("a", "b", None) for v in values]
+    df = spark.createDataFrame(data, "g string, v double, line int").repartition(5)
+    found, expected = ranking.top_with_ties(df, ["g"], "v", k), ranking.ranked_top(df, ["g"], "v", k)
+    assert found.count() == expected.count()
+    assert found.exceptAll(expected).count() == 0
+
+
 CATALOGUE = (
     "id long, title string, original_title string, release_date string, "
     "popularity double, revenue long, vote_average double, vote_count long"
