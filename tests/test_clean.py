@@ -10,8 +10,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from filmlake.functions.predicates import parsed_date
-from filmlake.operators.clean import clean_films, cleaning_audit, keep_any, keep_one
+from filmlake.functions.predicates import DATE_FORMAT, is_valid_film, parsed_date
+from filmlake.operators.clean import clean_films, cleaning_audit, keep_any, keep_one, with_checks
 from filmlake.operators.relate import film_genre_pairs, films_of, matching
 from filmlake.schemas import FILM_RAW
 
@@ -162,3 +162,26 @@ def test_keep_one_with_a_third_of_all_rows_on_one_key(spark):
     assert len(kept) == 40_001
     assert kept[0] == max(i * 7919 % 10_007 for i in range(0, 60_000, 3))
     assert keep_any(ids, ["id"]).count() == 40_001
+
+
+def test_checks_are_the_rules_of_a_valid_film(spark):
+    """Every mix of what a record may lack, against the predicate itself, by day and by date format."""
+    ids, titles, genres = (None, 1), (None, " ", "t"), (None, [], [1])
+    dates = (None, "", "  ", "2000-01-01", "2001-01-01", "2001-01-02", "2001-02-30", "2001", "x", "2001-01-01 ")
+    data = [(i, t, g, d) for i in ids for t in titles for g in genres for d in dates]
+    raw = spark.createDataFrame(data, "id long, title string, genre_ids array<long>, release_date string")
+    for as_of, date_format in (("2001-01-01", DATE_FORMAT), ("2001-01-01", None), (None, DATE_FORMAT), (None, "yyyy")):
+        checked = with_checks(raw, as_of, date_format).withColumn("_told", is_valid_film(as_of, date_format))
+        assert checked.filter(~F.col("_valid").eqNullSafe(F.col("_told"))).count() == 0
+        assert 0 < checked.filter("_valid").count() < len(data)
+
+
+def test_records_known_as_valid_are_not_read_again(spark, plan):
+    raw = spark.createDataFrame(
+        [(1, "t", [1], "2000-01-01", 1.0, None, None), (1, "u", [1], "2000-01-01", 2.0, 5.0, 7)],
+        "id long, title string, genre_ids array<long>, release_date string, popularity double, "
+        "vote_average double, vote_count long",
+    )
+    found = clean_films(raw, "2001-01-01", all_valid=True)
+    assert "RLIKE" not in plan(found)
+    assert found.collect() == clean_films(raw, "2001-01-01").collect()

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filmlake import snapshots
+from filmlake.functions.predicates import DATE_FORMAT
 from filmlake.operators import ranking
 from filmlake.plans import contracts, pipeline, views
 from filmlake.plans.queries import QUERIES
@@ -342,3 +343,25 @@ def test_results_do_not_depend_on_how_data_is_split(spark, setting, rows):
     setting("spark.sql.files.openCostInBytes", "0")
     setting("spark.sql.autoBroadcastJoinThreshold", "-1")
     assert run() == before
+
+
+def test_observed_counts_read_no_text(spark, tmp_path, monkeypatch, plan):
+    """Observed counts are interpreted; a record's date was read for each of them, and once more by the filter."""
+    (tmp_path / "a.json").write_text(
+        '{"id": 1, "title": "t", "genre_ids": [1], "release_date": "2000-01-01"}\n'
+        '{"id": 2, "title": " ", "genre_ids": null, "release_date": "2009-01-01"}\nno json\n'
+    )
+    plans, stage = [], pipeline.stage
+
+    def watched(df, path):
+        plans.append(plan(df))
+        return stage(df, path)
+
+    monkeypatch.setattr(pipeline, "stage", watched)
+    valid, audit = pipeline._valid_records(spark, str(tmp_path), "*.json", "2001-01-01", DATE_FORMAT, f"{tmp_path}/out")
+    assert plans[0].count("RLIKE") <= 1
+    assert [r["id"] for r in valid.collect()] == [1] and "source_file" not in valid.columns
+    assert audit == {
+        "rows_in": 3, "rows_valid": 1, "no_id": 1, "no_title": 2, "no_genres": 2, "no_date": 1, "bad_date": 0,
+        "future_date": 1, "corrupt": 1,
+    }
